@@ -32,6 +32,16 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` as a lambda variable.
+
+    Spark does not share a subexpression between the branches of a CASE, so an
+    expensive value used in several branches (or fields) would be recomputed;
+    binding it through a one-element array keeps one evaluation per row.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def maintainability_index(volume, complexity, sloc, comments) -> Column:
     """maintainability index; NULL without a Halstead volume.
 
@@ -39,7 +49,12 @@ def maintainability_index(volume, complexity, sloc, comments) -> Column:
     volume meets a codebase whose complexity could not be measured (the
     reference aborts there).
     """
-    v, cc, s, k = _c(volume), _c(complexity), _c(sloc), _c(comments)
+    packed = F.struct(_c(volume).cast("double").alias("v"), _c(complexity).cast("double").alias("cc"),
+                      _c(sloc).cast("double").alias("s"), _c(comments).cast("double").alias("k"))
+    return let(packed, lambda p: _mi(p["v"], p["cc"], p["s"], p["k"]))
+
+
+def _mi(v, cc, s, k) -> Column:
     raw = (F.lit(MI_BASE) - F.lit(MI_VOLUME) * F.log(v.cast("double"))
            - F.lit(MI_COMPLEXITY) * cc.cast("double")
            - F.lit(MI_LOC) * F.log(s.cast("double"))
@@ -80,29 +95,36 @@ def truncate_int(x) -> Column:
     return F.bround(_c(x).cast("double"), 2).cast("bigint")
 
 
-def file_halstead(text) -> Column:
-    """Per-file Halstead figures, integerised as the reference sums them (A10 input)."""
-    c = halstead_counts(lex_tokens(text))
-    m = halstead_measures(c["h1"], c["h2"], c["N1"], c["N2"])
-    return F.struct(
-        m["length"].cast("bigint").alias("halstead_length"),
-        m["vocabulary"].cast("bigint").alias("halstead_vocabulary"),
-        truncate_int(m["volume"]).alias("halstead_volume"),
-        truncate_int(m["difficulty"]).alias("halstead_difficulty"),
-        truncate_int(m["effort"]).alias("halstead_effort"),
-    )
+def file_halstead(text, tokens=None) -> Column:
+    """Per-file Halstead figures, integerised as the reference sums them (A10 input).
+
+    ``tokens`` may pass an already extracted token array of ``text``.
+    """
+    counts = halstead_counts(lex_tokens(text) if tokens is None else _c(tokens))
+
+    def integerise(c):
+        m = halstead_measures(c["h1"], c["h2"], c["N1"], c["N2"])
+        return F.struct(
+            m["length"].cast("bigint").alias("halstead_length"),
+            m["vocabulary"].cast("bigint").alias("halstead_vocabulary"),
+            truncate_int(m["volume"]).alias("halstead_volume"),
+            truncate_int(m["difficulty"]).alias("halstead_difficulty"),
+            truncate_int(m["effort"]).alias("halstead_effort"),
+        )
+    return let(counts, integerise)
 
 
-def lexical_complexity(text, decisions=DEFAULT_DECISIONS) -> Column:
+def lexical_complexity(text, decisions=DEFAULT_DECISIONS, tokens=None) -> Column:
     """F5 (lexical): mean block complexity of one file, rounded to 2 places.
 
     A block is a non-blank line; its complexity is 1 + the decision tokens on
     it.  A file without blocks cannot be measured and yields NULL ("broken").
     """
-    blocks = non_blank_lines(text)
     dec = F.array(*[F.lit(d) for d in decisions])
-    hits = F.size(F.filter(lex_tokens(text), lambda t: F.array_contains(dec, t))).cast("bigint")
-    return F.when(blocks > 0, F.bround((blocks + hits).cast("double") / blocks.cast("double"), 2))
+    toks = lex_tokens(text) if tokens is None else _c(tokens)
+    hits = F.size(F.filter(toks, lambda t: F.array_contains(dec, t))).cast("bigint")
+    bh = F.struct(non_blank_lines(text).alias("b"), hits.alias("h"))
+    return let(bh, lambda x: F.when(x["b"] > 0, F.bround((x["b"] + x["h"]).cast("double") / x["b"].cast("double"), 2)))
 
 
 def null_placeholder() -> Column:

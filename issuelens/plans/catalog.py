@@ -50,10 +50,19 @@ def _files(spark, d, suffixes) -> DataFrame:
     return entries.join(SN.text_blobs(B.blobs(spark, d)), "blob_sha", "inner")
 
 
-def _file_metrics(spark, d, suffixes=T.CODE_SUFFIXES_BEFORE) -> DataFrame:
-    """Per-file metric columns (computed once per distinct blob) joined to the tree entries."""
+def _file_metrics(spark, d, suffixes=T.CODE_SUFFIXES_BEFORE, hashes: bool = False) -> DataFrame:
+    """Per-file metric columns (computed once per distinct blob) joined to the tree entries.
+
+    With ``hashes`` the block hashes come from the same text pass, which ends
+    in an exchange that both consumers (metrics, duplication) reuse.
+    """
     entries = SN.tree_entries(B.snapshot_files(spark, d), suffixes)
-    bm = CM.blob_metrics(SN.text_blobs(B.blobs(spark, d)), O.B4_DECISIONS)
+    texts = SN.text_blobs(B.blobs(spark, d))
+    if hashes:
+        texts = texts.withColumn("hashes", DU.block_hashes(F.col("text"), O.DUP_WINDOW))
+    bm = CM.blob_metrics(texts, O.B4_DECISIONS, keep=("hashes",) if hashes else ())
+    if hashes:
+        bm = bm.repartition("blob_sha")
     return entries.join(bm, "blob_sha", "inner")
 
 
@@ -497,11 +506,9 @@ def a18(spark, d):
           + ", coalesce(dd.dup, 0) CodeDuplication, cast(null as double) Coupling, cast(null as double) Cohesion"
           + "\nfrom tm left join dd on dd.snapshot_sha = tm.snapshot_sha")
 def a19(spark, d):
-    fm = _file_metrics(spark, d)
+    fm = _file_metrics(spark, d, hashes=True)
     m = CM.all_metrics(fm, ["snapshot_sha"])
-    files = _files(spark, d, T.CODE_SUFFIXES_BEFORE)
-    dup = DU.duplicate_blocks(files.select("snapshot_sha", DU.block_hashes(F.col("text"), O.DUP_WINDOW).alias("hashes")),
-                              ["snapshot_sha"])
+    dup = DU.duplicate_blocks(fm, ["snapshot_sha"])
     m = m.join(dup, "snapshot_sha", "left")
     return m.select("snapshot_sha", *_spark_metric_cols(m), "CodeDuplication", "Coupling", "Cohesion")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,10 +49,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` into the shared checkpoint folder (reliable checkpoint).
+    """Write ``df`` as a parquet table under the shared checkpoint folder and read it back.
 
-    Used between the heavy stages of the dataset build so a lost executor
-    re-reads the checkpoint instead of recomputing the whole plan.
+    One job writes the table (a reliable ``checkpoint()`` of an uncached plan
+    would compute it twice); later stages and any retry after a lost executor
+    read the table instead of recomputing the plan behind it.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = ensure_checkpoint_dir(spark).rstrip("/") + f"/tables/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -23,14 +23,27 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.embed import VectorLookup
+from .parallel import ensure_parallelism
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
 N_TREES = 20
 
 
+_READS: dict = {}
+# Small dimension tables: never worth spreading.
+DIMENSION_TABLES = ("region", "nation", "supplier", "benchmark", "labels")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table; the reader is built once per session (no repeated footer/listing jobs)."""
+    key = (id(spark), sf_dir, name)
+    if key not in _READS:
+        df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        if name not in DIMENSION_TABLES:
+            df = ensure_parallelism(df)
+        _READS[key] = df
+    return _READS[key]
 
 
 def commits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,6 +112,7 @@ def snapshot_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One blob per distinct content (md5), as a content-addressed store holds it."""
     c = code_documents(spark, sf_dir)
     return (c.select(F.md5("code").alias("blob_sha"), F.encode("code", "UTF-8").alias("content"))
             .dropDuplicates(["blob_sha"]))
