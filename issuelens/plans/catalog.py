@@ -722,3 +722,25 @@ def p7(spark, d):
         F.size("codebase_embedding_before_first_commit").alias("before_dims"),
         F.size("codebase_embedding_after_last_commit").alias("after_dims"),
     )
+
+
+# ---------------------------------------------------------------------------
+# Python-only exact mode (no SQL oracle: the figures come from a Python parser)
+
+def _python_sources(spark, d) -> DataFrame:
+    """Per document a Python function with one guarded statement per sentence; German
+    documents stay prose, i.e. files that do not parse."""
+    docs = B.table(spark, d, "documents")
+    sentences = F.split(F.col("text"), r"[.!?] ")
+    body = F.array_join(F.transform(sentences, lambda s, i: F.concat(
+        F.lit("    if x > "), F.length(s).cast("string"), F.lit(" and x != "), i.cast("string"),
+        F.lit(":\n        x = x + 1\n"))), "")
+    code = F.when(F.col("lang") == "de", F.col("text")).otherwise(
+        F.concat(F.lit("def f(x):\n"), body, F.lit("    return x\n")))
+    return docs.select(F.col("doc_id").cast("string").alias("blob_sha"), code.alias("text"))
+
+
+@register("u1_python_blocks", None)
+def u1(spark, d):
+    from ..operators.pyblocks import python_blocks
+    return python_blocks(_python_sources(spark, d))
