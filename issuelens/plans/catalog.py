@@ -709,7 +709,80 @@ def issue_dataset(spark: SparkSession, d: str) -> DataFrame:
                                B.token_lookup(spark, d))
 
 
-@register("p7_issue_dataset", None)
+def _p7_sql() -> str:
+    from ..functions.metrics import DEFAULT_DECISIONS
+    w = O.DUP_WINDOW
+    return O.with_(
+        O.V_COMMITS, O.V_COMMIT_FILES, O.V_STATS,
+        """links as (select cast(c.c_custkey as bigint) issue_id, m.sha, m.committed_date, m.seq, m.parents
+  from customer c join commits m on contains(m.message, '#' || cast(c.c_custkey as varchar)))""",
+        """churn as (
+  select l.issue_id, cast(count(*) as bigint) noc, cast(sum(coalesce(s.n_files, 0)) as bigint) nocf,
+         cast(sum(coalesce(s.ins, 0)) as bigint) noi, cast(sum(coalesce(s.dels, 0)) as bigint) nod,
+         arg_min(l.sha, row(l.committed_date, l.seq)) first_commit,
+         arg_min(l.parents, row(l.committed_date, l.seq)) first_parents,
+         arg_max(l.sha, row(l.committed_date, l.seq)) last_commit
+  from links l left join stats s on s.sha = l.sha group by l.issue_id)""",
+        O.V_ATTEMPTS, O.V_RESPONSES, O.ladder_sql(), O.V_VALID,
+        """rws as (
+  select ch.*, v.issue_description, p.tree before_snapshot, lc.tree after_snapshot
+  from churn ch join valid v on v.issue_id = ch.issue_id
+  left join commits p on len(ch.first_parents) > 0 and p.sha = ch.first_parents[1]
+  left join commits lc on lc.sha = ch.last_commit)""",
+        O.V_CODE_DOCS, O.V_SNAPSHOT_FILES, O.V_BLOBS, O.V_FILES_BEFORE, O.V_FILES_AFTER, O.V_TOKVEC,
+        """pf as (select 'before' side, * from files_before union all select 'after' side, * from files_after)""",
+        f"""pm as (select side, snapshot_sha, {O.loc_sql('text')} loc, {O.comments_sql('text')} comments,
+              {O.cc_sql('text', DEFAULT_DECISIONS)} cc, {O.halstead_counts_sql(O.toks_sql('text'))} from pf)""",
+        f"""pd as (select *, {O.HALSTEAD_DERIVED} from pm)""",
+        f"""tm as (select side, snapshot_sha, cast(sum(loc) as bigint) loc, cast(sum(comments) as bigint) comments,
+              avg(cc) cc, cast(sum(cast(hl as bigint)) as bigint) hl, cast(sum(cast(hv as bigint)) as bigint) hv,
+              cast(sum({O.trunc_int_sql('hvol')}) as bigint) hvol, cast(sum({O.trunc_int_sql('hdiff')}) as bigint) hdiff,
+              cast(sum({O.trunc_int_sql('hdiff * hvol')}) as bigint) heff
+       from pd group by side, snapshot_sha)""",
+        f"""win as (select side, snapshot_sha, list_filter(list_transform(string_split(text, chr(10)),
+                  lambda l: trim(l, ' ' || chr(9) || chr(13))), lambda l: l <> '') ls from pf)""",
+        f"""blk as (select side, snapshot_sha, md5(array_to_string(ls[i:i + {w - 1}], chr(10))) h
+        from (select *, unnest(range(1, len(ls) - {w - 2})) i from win))""",
+        """dd as (select side, snapshot_sha, cast(count(*) filter (where n > 1) as bigint) dup
+       from (select side, snapshot_sha, h, count(*) n from blk group by all) group by side, snapshot_sha)""",
+        f"""ft as (select side, snapshot_sha, seq, text, len(regexp_extract_all(text, {O.WORDS}, 1)[1:512]) c from pf)""",
+        """fo as (select *, coalesce(sum(c) over (partition by side, snapshot_sha order by seq
+                  rows between unbounded preceding and 1 preceding), 0) off from ft where c > 0)""",
+        """lead as (select * from fo where off < 512)""",
+        f"""ctoks as (select side, snapshot_sha, t from (
+  select side, snapshot_sha, off + i - 1 pos, t
+  from (select side, snapshot_sha, off, unnest(regexp_extract_all(text, {O.WORDS}, 1)[1:512]) t,
+               unnest(range(1, 1 + len(regexp_extract_all(text, {O.WORDS}, 1)[1:512]))) i from lead))
+  where pos < 512)""",
+        f"""cvec as (select side, snapshot_sha, count(*) n from ctoks t
+  join vecs v on v.vec_id = {O.vec_key_sql('t.t')} group by side, snapshot_sha)""",
+        f"""dvec as (select issue_id, count(*) n from (
+  select issue_id, unnest(regexp_extract_all(issue_description, {O.WORDS}, 1)[1:512]) tok from rws) t
+  join vecs v on v.vec_id = {O.vec_key_sql('t.tok')} group by issue_id)""",
+    ) + """
+select r.issue_id, r.issue_description, r.first_commit, r.last_commit, r.noc NOC, r.nocf NOCF, r.noi NOI, r.nod NOD,
+  coalesce(b.loc, 0) LOC_before, coalesce(b.comments, 0) Comments_before, coalesce(bd.dup, 0) CodeDuplication_before,
+  coalesce(a.loc, 0) LOC_after, coalesce(a.comments, 0) Comments_after, coalesce(ad.dup, 0) CodeDuplication_after,
+  round(b.cc, 6) CyclomaticComplexity_before, round(""" + O.mi_sql("b.hvol", "b.cc", "b.loc", "b.comments") + """, 6) MaintainabilityIndex_before,
+  round(a.cc, 6) CyclomaticComplexity_after, round(""" + O.mi_sql("a.hvol", "a.cc", "a.loc", "a.comments") + """, 6) MaintainabilityIndex_after,
+  b.hl halstead_length_before, b.hv halstead_vocabulary_before, b.hvol halstead_volume_before,
+  b.hdiff halstead_difficulty_before, b.heff halstead_effort_before,
+  a.hl halstead_length_after, a.hv halstead_vocabulary_after, a.hvol halstead_volume_after,
+  a.hdiff halstead_difficulty_after, a.heff halstead_effort_after,
+  case when dv.n > 0 then (select max(len(embedding)) from embeddings) else 0 end desc_dims,
+  case when bv.n > 0 then (select max(len(embedding)) from embeddings) else 0 end before_dims,
+  case when av.n > 0 then (select max(len(embedding)) from embeddings) else 0 end after_dims
+from rws r
+left join tm b on b.side = 'before' and b.snapshot_sha = r.before_snapshot
+left join dd bd on bd.side = 'before' and bd.snapshot_sha = r.before_snapshot
+left join tm a on a.side = 'after' and a.snapshot_sha = r.after_snapshot
+left join dd ad on ad.side = 'after' and ad.snapshot_sha = r.after_snapshot
+left join cvec bv on bv.side = 'before' and bv.snapshot_sha = r.before_snapshot
+left join cvec av on av.side = 'after' and av.snapshot_sha = r.after_snapshot
+left join dvec dv on dv.issue_id = r.issue_id"""
+
+
+@register("p7_issue_dataset", _p7_sql())
 def p7(spark, d):
     ds = issue_dataset(spark, d)
     return ds.select(
@@ -718,9 +791,9 @@ def p7(spark, d):
         *[_r6(F.col(f"{c}_{s}")).alias(f"{c}_{s}") for s in ("before", "after")
           for c in ("CyclomaticComplexity", "MaintainabilityIndex")],
         *[F.col(f"HalsteadMetrics_{s}.{f}").alias(f"{f}_{s}") for s in ("before", "after") for f in CM.HALSTEAD_FIELDS],
-        F.size("issue_description_embedding").alias("desc_dims"),
-        F.size("codebase_embedding_before_first_commit").alias("before_dims"),
-        F.size("codebase_embedding_after_last_commit").alias("after_dims"),
+        F.size("issue_description_embedding").cast("bigint").alias("desc_dims"),
+        F.size("codebase_embedding_before_first_commit").cast("bigint").alias("before_dims"),
+        F.size("codebase_embedding_after_last_commit").cast("bigint").alias("after_dims"),
     )
 
 
