@@ -111,11 +111,12 @@ V_CODE_DOCS = """code_docs as (
   from documents)"""
 
 V_SNAPSHOT_FILES = """snapshot_files as (
-  select source snapshot_sha, path, cast(doc_id as bigint) seq, 'blob' entry_type, md5(code) blob_sha from code_docs
+  select source snapshot_sha, path, cast(doc_id as bigint) seq, 'blob' entry_type, 'b' || cast(doc_id as varchar) blob_sha
+  from code_docs
   union all
   select source, source, cast(min(doc_id) as bigint), 'tree', cast(null as varchar) from code_docs group by source)"""
 
-V_BLOBS = """blobs as (select distinct md5(code) blob_sha, code text from code_docs)"""
+V_BLOBS = """blobs as (select 'b' || cast(doc_id as varchar) blob_sha, code text from code_docs)"""
 
 
 def v_files(name: str, suffixes) -> str:

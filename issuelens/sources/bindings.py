@@ -9,7 +9,7 @@ the scale factor.
                              message mentions '#<o_custkey>' and '#<o_orderkey>',
                              first parent = previous order, tree = one of 20 sources)
 * commit_files  <- lineitem (a file = a part of an order)
-* snapshot_files, blobs <- documents (tree = source, path = doc id + suffix,
+* snapshot_files, blobs <- documents (tree = source, path = doc id + suffix, blob = 'b<doc id>',
                              content = a code-like text derived from the prose)
 * file_versions <- conversations (path = conv_id, seq = turn, content = text)
 * issue_responses <- events (issue = user_id, first two events = attempts)
@@ -31,8 +31,9 @@ N_TREES = 20
 
 
 _READS: dict = {}
-# Small dimension tables: never worth spreading.
-DIMENSION_TABLES = ("region", "nation", "supplier", "benchmark", "labels")
+# Tables whose rows feed per-row regex work (texts, commit messages): spread when under-split.
+# Plain aggregation inputs are not: partial aggregation in one task is cheaper than an extra stage.
+REGEX_TABLES = ("documents", "pages", "conversations", "orders")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,7 +41,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     key = (id(spark), sf_dir, name)
     if key not in _READS:
         df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-        if name not in DIMENSION_TABLES:
+        if name in REGEX_TABLES:
             df = ensure_parallelism(df)
         _READS[key] = df
     return _READS[key]
@@ -91,6 +92,10 @@ def suffix_of(doc_id: Column) -> Column:
             .otherwise(".md"))
 
 
+def blob_id(doc_id: Column) -> Column:
+    return F.concat(F.lit("b"), doc_id.cast("string"))
+
+
 def code_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, source, lang, path, code) -- one code file per document."""
     d = table(spark, sf_dir, "documents")
@@ -104,7 +109,7 @@ def snapshot_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Blob entries plus one 'tree' entry (the folder itself) per tree."""
     c = code_documents(spark, sf_dir)
     files = c.select(F.col("source").alias("snapshot_sha"), "path", F.col("doc_id").cast("bigint").alias("seq"),
-                     F.lit("blob").alias("entry_type"), F.md5("code").alias("blob_sha"))
+                     F.lit("blob").alias("entry_type"), blob_id(F.col("doc_id")).alias("blob_sha"))
     folders = (c.groupBy("source").agg(F.min("doc_id").cast("bigint").alias("seq"))
                .select(F.col("source").alias("snapshot_sha"), F.col("source").alias("path"), "seq",
                        F.lit("tree").alias("entry_type"), F.lit(None).cast("string").alias("blob_sha")))
@@ -112,10 +117,9 @@ def snapshot_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One blob per distinct content (md5), as a content-addressed store holds it."""
+    """One blob per document, keyed like the tree entries (an export's blob table is unique)."""
     c = code_documents(spark, sf_dir)
-    return (c.select(F.md5("code").alias("blob_sha"), F.encode("code", "UTF-8").alias("content"))
-            .dropDuplicates(["blob_sha"]))
+    return c.select(blob_id(F.col("doc_id")).alias("blob_sha"), F.encode("code", "UTF-8").alias("content"))
 
 
 def file_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
