@@ -542,10 +542,9 @@ def w3(spark, d):
 @register("w4_sort_files", O.with_(O.V_CODE_DOCS) + """
 select source, path, cast(row_number() over (partition by source order by path) as bigint) file_rank from code_docs""")
 def w4(spark, d):
-    from pyspark.sql import Window
-    docs = B.code_documents(spark, d)
-    return docs.select("source", "path", F.row_number().over(Window.partitionBy("source").orderBy("path"))
-                       .cast("bigint").alias("file_rank"))
+    from ..operators.ranking import rank_within
+    docs = B.code_documents(spark, d).select("source", "path")
+    return rank_within(docs, ["source"], ["path"], "file_rank").select("source", "path", "file_rank")
 
 
 # ---------------------------------------------------------------------------
