@@ -42,7 +42,12 @@ def combine_files(files: DataFrame, group: str, name: str, text: str) -> DataFra
 
 
 def write_combined(segments: DataFrame, path: str, group: str) -> None:
-    """Write each group's combined text under ``path/<group>=.../part-*`` in order."""
+    """Write each group's combined text under ``path/<group>=.../part-*`` in order.
+
+    Every segment ends with a newline; the text writer adds one after each
+    row, so the segment is written without its last character.
+    """
+    body = F.expr("substring(segment, 1, length(segment) - 1)")
     (segments.orderBy(group, "part", "name")
-     .select(group, "segment")
-     .write.mode("overwrite").partitionBy(group).option("lineSep", "").text(path))
+     .select(group, body.alias("segment"))
+     .write.mode("overwrite").partitionBy(group).text(path))
