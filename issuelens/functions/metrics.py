@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import OPERAND_START, lex_tokens, non_blank_lines
+from .text import OPERAND_START, lex_operands, lex_operators, lex_tokens, non_blank_lines
 
 # ---------------------------------------------------------------------------
 # Fixed values of the maintainability index formula (reference constants,
@@ -71,6 +71,12 @@ def halstead_counts(tokens) -> Column:
     toks = _c(tokens)
     ops = F.filter(toks, lambda t: ~t.rlike(OPERAND_START))
     opnds = F.filter(toks, lambda t: t.rlike(OPERAND_START))
+    return split_counts(ops, opnds)
+
+
+def split_counts(ops, opnds) -> Column:
+    """F4 inputs from separate operator and operand arrays."""
+    ops, opnds = _c(ops), _c(opnds)
     return F.struct(
         F.size(F.array_distinct(ops)).cast("bigint").alias("h1"),
         F.size(F.array_distinct(opnds)).cast("bigint").alias("h2"),
@@ -95,12 +101,13 @@ def truncate_int(x) -> Column:
     return F.bround(_c(x).cast("double"), 2).cast("bigint")
 
 
-def file_halstead(text, tokens=None) -> Column:
+def file_halstead(text, ops=None, opnds=None) -> Column:
     """Per-file Halstead figures, integerised as the reference sums them (A10 input).
 
-    ``tokens`` may pass an already extracted token array of ``text``.
+    ``ops`` / ``opnds`` may pass already extracted operator / operand arrays of ``text``.
     """
-    counts = halstead_counts(lex_tokens(text) if tokens is None else _c(tokens))
+    counts = split_counts(lex_operators(text) if ops is None else ops,
+                          lex_operands(text) if opnds is None else opnds)
 
     def integerise(c):
         m = halstead_measures(c["h1"], c["h2"], c["N1"], c["N2"])
@@ -114,15 +121,17 @@ def file_halstead(text, tokens=None) -> Column:
     return let(counts, integerise)
 
 
-def lexical_complexity(text, decisions=DEFAULT_DECISIONS, tokens=None) -> Column:
+def lexical_complexity(text, decisions=DEFAULT_DECISIONS, ops=None, opnds=None) -> Column:
     """F5 (lexical): mean block complexity of one file, rounded to 2 places.
 
     A block is a non-blank line; its complexity is 1 + the decision tokens on
     it.  A file without blocks cannot be measured and yields NULL ("broken").
     """
     dec = F.array(*[F.lit(d) for d in decisions])
-    toks = lex_tokens(text) if tokens is None else _c(tokens)
-    hits = F.size(F.filter(toks, lambda t: F.array_contains(dec, t))).cast("bigint")
+    ops = lex_operators(text) if ops is None else _c(ops)
+    opnds = lex_operands(text) if opnds is None else _c(opnds)
+    hits = (F.size(F.filter(opnds, lambda t: F.array_contains(dec, t)))
+            + F.size(F.filter(ops, lambda t: F.array_contains(dec, t)))).cast("bigint")
     bh = F.struct(non_blank_lines(text).alias("b"), hits.alias("h"))
     return let(bh, lambda x: F.when(x["b"] > 0, F.bround((x["b"] + x["h"]).cast("double") / x["b"].cast("double"), 2)))
 

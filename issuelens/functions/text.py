@@ -52,6 +52,11 @@ COMMENT = r"(//[^\n]*|#[^\n]*|/\*[\s\S]*?\*/)"
 # Lexical tokens for Halstead counts and lexical complexity.
 LEX_TOKEN = r"([A-Za-z_][A-Za-z0-9_]*|[0-9]+|[-+*/%=<>!&|^~]+)"
 OPERAND_START = r"^[A-Za-z0-9_]"
+# The same tokens by kind: the two character classes are disjoint and every
+# token is a maximal run, so extracting each kind on its own gives exactly the
+# operands / operators of LEX_TOKEN, in order, without a regex per token.
+LEX_OPERAND = r"([A-Za-z_][A-Za-z0-9_]*|[0-9]+)"
+LEX_OPERATOR = r"([-+*/%=<>!&|^~]+)"
 # Word tokens fed to the static vector lookup.
 WORD_TOKEN = r"([A-Za-z]+)"
 
@@ -126,6 +131,14 @@ def lex_tokens(text) -> Column:
     return F.regexp_extract_all(_c(text), F.lit(LEX_TOKEN), 1)
 
 
+def lex_operands(text) -> Column:
+    return F.regexp_extract_all(_c(text), F.lit(LEX_OPERAND), 1)
+
+
+def lex_operators(text) -> Column:
+    return F.regexp_extract_all(_c(text), F.lit(LEX_OPERATOR), 1)
+
+
 def word_tokens(text) -> Column:
     return F.regexp_extract_all(_c(text), F.lit(WORD_TOKEN), 1)
 
