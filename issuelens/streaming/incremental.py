@@ -6,6 +6,9 @@ per polling of the tracker); every micro-batch runs the same batch plan
 (:func:`issuelens.plans.dataset.build_issue_dataset`) for the ids of that
 batch and writes its records.
 
+Per-blob statistics are kept in a table next to the stream's checkpoint, so
+a blob shared by the trees of many micro-batches is measured once.
+
 Output is exactly-once: each epoch writes its own folder ``epoch=<id>`` in
 overwrite mode, so a micro-batch that is retried after a failure replaces
 its earlier partial output instead of duplicating it.  Reading ``out_path``
@@ -42,6 +45,8 @@ def start_dataset_stream(issue_ids: DataFrame, tables: dict, out_path: str, name
     """
     spark = issue_ids.sparkSession
     ckpt = ensure_checkpoint_dir(spark).rstrip("/") + f"/streams/{name}"
+    # Blobs measured by one micro-batch are not measured again by the next.
+    build_options.setdefault("stats_path", f"{ckpt}/blob-stats")
 
     def run_batch(batch: DataFrame, epoch_id: int) -> None:
         ids = batch.select("issue_id").distinct()
