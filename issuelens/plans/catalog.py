@@ -796,6 +796,29 @@ def p7(spark, d):
     )
 
 
+_TRACKER_SQL = O.with_(
+    O.V_COMMITS, O.V_COMMIT_FILES,
+    """links as (select cast(c_custkey as bigint) issue_id, m.sha from customer c
+  join commits m on contains(m.message, '#' || cast(c_custkey as varchar)))""",
+    f"""pc as (select issue_id, arg_min(sha, md5(concat_ws(chr(1), {O.lit(O.SEED)}, cast(issue_id as varchar), sha))) sha
+  from links group by issue_id)""",
+    f"""pf as (select pc.issue_id, arg_min(cf.path, md5(concat_ws(chr(1), {O.lit(O.SEED)}, cast(pc.issue_id as varchar),
+  cf.path))) path from pc join commit_files cf on cf.sha = pc.sha group by pc.issue_id)""",
+    """hist as (select pf.issue_id, cf.sha rev from pf join commit_files cf on cf.path = pf.path)""",
+    f"""pr as (select issue_id, arg_min(rev, md5(concat_ws(chr(1), {O.lit(O.SEED)}, cast(issue_id as varchar), rev)))
+  revision_sha, cast(count(*) as bigint) n_history from hist group by issue_id)""",
+) + """
+select pc.issue_id, pc.sha commit_sha, pf.path file_path, pr.revision_sha, pr.n_history
+from pc join pf on pf.issue_id = pc.issue_id join pr on pr.issue_id = pc.issue_id"""
+
+
+@register("e3_issue_change_tracker", _TRACKER_SQL)
+def e3(spark, d):
+    from .tracker import track_issue_changes
+    return track_issue_changes(B.issues_from_customers(spark, d), B.commits(spark, d), B.commit_files(spark, d),
+                               seed=O.SEED)
+
+
 # ---------------------------------------------------------------------------
 # Python-only exact mode (no SQL oracle: the figures come from a Python parser)
 

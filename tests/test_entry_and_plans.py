@@ -36,7 +36,8 @@ def test_every_query_has_a_plan_without_python_or_nested_loops(spark):
 
 
 @pytest.mark.parametrize("name", ["j1_link_commits_to_issues", "a5_first_commit", "a19_all_metrics",
-                                  "f9_resolve_description", "e1_embed_codebase", "j6_snapshot_as_of_before"])
+                                  "f9_resolve_description", "e1_embed_codebase", "j6_snapshot_as_of_before",
+                                  "e3_issue_change_tracker", "p7_issue_dataset"])
 def test_query_equals_duckdb_oracle(spark, name):
     import __spark_entry__ as E
     from scripts.check_oracle import digest
