@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame
 
 
 def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:       # e.g. a Spark Connect session exposes no RDDs: leave the scan as it is
         return df
-    return df.repartition(target)
+    return df if current >= target else df.repartition(target)
