@@ -34,6 +34,10 @@ LINE_SEP_CHARS = r"\n\r\x{0B}\f\x{1C}-\x{1E}\x{85}\x{2028}\x{2029}"
 # Whitespace that is not a line boundary for either ``re`` or ``splitlines``.
 HSPACE_CHARS = r"\t \x{1F}\x{A0}\x{1680}\x{2000}-\x{200A}\x{202F}\x{205F}\x{3000}"
 
+# Fixed values (continued): the reference's two patterns.  They are spelt out
+# without verbose-mode layout, with Python's \s written as the class W and
+# Python's "." as [^\n], so that Java's engine and RE2 match exactly like
+# Python's re (nothing else is changed).
 # Code-line filter: whole-line // and # comments, blank lines, block comments that
 # fill their lines, and triple-quoted strings with the whitespace before them.
 LOC_STRIP = (
@@ -43,11 +47,10 @@ LOC_STRIP = (
 # Java needs UNIX_LINES so that ^ and $ stop only at \n, like Python's re.
 LOC_STRIP_JAVA = "(?md)" + LOC_STRIP
 LOC_STRIP_RE2 = "(?m)" + LOC_STRIP
-# A line (between splitlines boundaries) that holds a non-space character.
-CODE_LINE = f"[^{LINE_SEP_CHARS}]*{NON_WS}[^{LINE_SEP_CHARS}]*"
 
 # Comment matches: // to end of line, # to end of line, /* ... */ (not anchored).
 COMMENT = r"(//[^\n]*|#[^\n]*|/\*[\s\S]*?\*/)"
+# (end of the reference's patterns)
 
 # Lexical tokens for Halstead counts and lexical complexity.
 LEX_TOKEN = r"([A-Za-z_][A-Za-z0-9_]*|[0-9]+|[-+*/%=<>!&|^~]+)"
