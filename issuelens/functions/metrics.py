@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import OPERAND_START, lex_operands, lex_operators, lex_tokens, non_blank_lines
+from .text import OPERAND_START, lex_operands, lex_operators, non_blank_lines
 
 # ---------------------------------------------------------------------------
 # Fixed values of the maintainability index formula (reference constants,
