@@ -16,27 +16,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SAMPLE_PER_CHUNK = 20
+# Enough pieces to spread any hot group; keeps the chunk expression compact.
+MAX_DEFAULT_CHUNKS = 256
 
 
-def _before(cols, bound) -> Column:
-    """Lexicographic ``cols < bound`` (NULL keys sort first, as in the window order)."""
-    c, b = cols[0], bound[0]
-    if b is None:
-        lt, eq = F.lit(False), c.isNull()
-    else:
-        lt, eq = c.isNull() | (c < F.lit(b)), c == F.lit(b)
-    if len(cols) == 1:
-        return lt
-    return lt | (F.coalesce(eq, F.lit(False)) & _before(cols[1:], bound[1:]))
+def _chunk_of(key: Column, bounds, lo: int, hi: int) -> Column:
+    """Index of the chunk holding ``key`` among sorted struct literals ``bounds``.
 
-
-def _chunk_of(cols, bounds, lo: int, hi: int) -> Column:
-    """Index of the chunk holding the key among sorted ``bounds`` (binary search as nested CASE)."""
+    A binary search written as nested CASE over single struct comparisons
+    (Spark orders structs field by field, NULLs first -- the window's order),
+    so the expression stays small enough for whole-stage code generation.
+    """
     if lo == hi:
         return F.lit(lo)
     mid = (lo + hi) // 2
-    return F.when(_before(cols, bounds[mid]), _chunk_of(cols, bounds, lo, mid)).otherwise(
-        _chunk_of(cols, bounds, mid + 1, hi))
+    return F.when(key < bounds[mid], _chunk_of(key, bounds, lo, mid)).otherwise(
+        _chunk_of(key, bounds, mid + 1, hi))
 
 
 def _sort_key(row):
@@ -53,7 +48,7 @@ def rank_within(df: DataFrame, group_cols, order_cols, out: str = "rank",
     group_cols, order_cols = list(group_cols), list(order_cols)
     key = group_cols + order_cols
     spark = df.sparkSession
-    n = num_chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_chunks or min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_DEFAULT_CHUNKS)
     bounds = []
     if n > 1:
         total = df.count()
@@ -68,8 +63,11 @@ def rank_within(df: DataFrame, group_cols, order_cols, out: str = "rank",
                     if not uniq or uniq[-1] != b:
                         uniq.append(b)
                 bounds = uniq
-    cols = [F.col(c) for c in key]
-    chunked = df.withColumn("_chunk", _chunk_of(cols, bounds, 0, len(bounds)) if bounds else F.lit(0))
+    types = {f.name: f.dataType for f in df.schema.fields}
+    literals = [F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(key, b)]) for b in bounds]
+    keyed = df.withColumn("_key", F.struct(*[F.col(c) for c in key]))
+    chunked = keyed.withColumn("_chunk", _chunk_of(F.col("_key"), literals, 0, len(literals))
+                               if literals else F.lit(0)).drop("_key")
     local = chunked.withColumn("_lr", F.row_number().over(Window.partitionBy("_chunk", *group_cols).orderBy(*order_cols)))
     sizes = chunked.groupBy("_chunk", *group_cols).agg(F.count(F.lit(1)).alias("_n"))
     offsets = sizes.withColumn(
