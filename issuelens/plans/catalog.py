@@ -839,3 +839,15 @@ def _python_sources(spark, d) -> DataFrame:
 def u1(spark, d):
     from ..operators.pyblocks import python_blocks
     return python_blocks(_python_sources(spark, d))
+
+
+@register("u1_python_tree_metrics", None)
+def u1_trees(spark, d):
+    """A9-A11 over Python-mode figures: per source tree, mean of file means, Halstead sums, broken shares."""
+    from ..operators.pyblocks import python_blob_metrics
+    docs = B.table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("blob_sha"), "source")
+    files = docs.join(python_blob_metrics(_python_sources(spark, d)), "blob_sha", "inner")
+    m = CM.all_metrics(files, ["source"])
+    return m.select("source", "LOC", "CyclomaticComplexity",
+                    *[F.col(f"HalsteadMetrics.{f}").alias(f) for f in CM.HALSTEAD_FIELDS],
+                    "MaintainabilityIndex", "broken_pct_complexity", "broken_pct_halstead")
