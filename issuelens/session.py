@@ -19,11 +19,39 @@ DEFAULT_CONF = {
 }
 
 
-def get_spark(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "issuelens",
-              extra: dict | None = None) -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app)
+# Sizing for a large cluster reading ~100 TB (blob texts dominate):
+# * text splits of 128 MB keep one task's regex pass in the tens of seconds
+#   (text metrics run at roughly 5-10 MB/s per core) and give ~800k scan tasks;
+# * 8000 shuffle partitions is the ceiling; AQE coalesces small shuffles
+#   (advisory 256 MB) and splits skewed partitions (factor 4 over 512 MB);
+# * broadcasts stay behind the measured threshold (64 MB) or the bounded
+#   counts of ``operators.joins`` (``issuelens.broadcast.maxRows``).
+CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "issuelens.broadcast.maxRows": "2000000",
+}
+
+
+def get_spark(master: str | None = "local[*]", shuffle_partitions: int = 8, app: str = "issuelens",
+              extra: dict | None = None, profile: str = "local") -> SparkSession:
+    """The session for this library.
+
+    ``profile="cluster"`` applies :data:`CLUSTER_CONF` (master and the
+    checkpoint folder then come from the deployment: pass ``master=None``).
+    """
+    builder = SparkSession.builder.appName(app)
+    if master:
+        builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if profile == "cluster":
+        conf.update(CLUSTER_CONF)
+    else:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -36,12 +64,14 @@ def get_spark(master: str = "local[*]", shuffle_partitions: int = 8, app: str =
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    On a cluster the folder is set by the deployment and is only read here.  A
-    private temporary folder is created only when the setting is absent, which
-    is the case for local tests.
+    On a cluster the folder is set by the deployment and is only read here (a
+    missing setting is an error there).  A private temporary folder is created
+    only in local mode when the setting is absent, as in tests.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
         path = tempfile.mkdtemp(prefix="issuelens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
