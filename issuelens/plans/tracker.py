@@ -27,7 +27,7 @@ from ..operators.sampling import pick_one
 def track_issue_changes(issues: DataFrame, commits: DataFrame, commit_files: DataFrame,
                         seed: str = "0") -> DataFrame:
     """(issue_id, commit_sha, file_path, revision_sha, n_history) per issue."""
-    links = link_commits_to_issues(issues, commits.select("sha", "message"))
+    links = link_commits_to_issues(issues, commits.select("sha", "message"), keep_message=False)
     picked = pick_one(links.select("issue_id", "sha"), ["issue_id"], "sha", seed)
     changed = picked.join(commit_files.select("sha", "path"), "sha", "inner")
     picked_file = pick_one(changed.select("issue_id", "path"), ["issue_id"], "path", seed)
