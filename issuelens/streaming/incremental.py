@@ -12,7 +12,8 @@ a blob shared by the trees of many micro-batches is measured once.
 Output is exactly-once: each epoch writes its own folder ``epoch=<id>`` in
 overwrite mode, so a micro-batch that is retried after a failure replaces
 its earlier partial output instead of duplicating it.  Reading ``out_path``
-gives the appended dataset.  Progress (which files were consumed) lives in
+gives the appended dataset, plus an ``epoch`` column (from the folder names)
+that tells which micro-batch wrote each record.  Progress (which files were consumed) lives in
 the streaming checkpoint under the shared checkpoint folder.
 """
 
