@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import struct
+import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
+from issuelens.session import ensure_checkpoint_dir
+
 #: Rows and bytes that one Arrow batch may hold on its way to a Python task.
 BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
 
@@ -105,11 +109,29 @@ def rows_by_key(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Tabl
         yield pa.Table.from_batches(held)
 
 
-def arrow_map(fn: Callable[[dict], dict], schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """A mapInArrow function from one that turns a batch's columns (lists) into output columns."""
+def staged(df: DataFrame) -> DataFrame:
+    """``df`` written once to the shared checkpoint folder (zstd) and read back.
+
+    Later steps, and tasks run again after a lost executor, read the files.
+    Shuffle files of the write are let go when it ends.
+    """
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+    path = ensure_checkpoint_dir(spark).rstrip("/") + f"/staged/{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.parquet(path)
+
+
+def pack_ints(values: np.ndarray) -> bytes:
+    """int64 values as a base and offsets of as few bytes (1, 2, 4 or 8) as they need."""
+    base = int(values.min()) if len(values) else 0
+    span = int(values.max()) - base if len(values) else 0
+    width = next(w for w in (1, 2, 4, 8) if span < 1 << 8 * w)
+    offsets = values.astype(np.uint64) - np.uint64(base % (1 << 64))
+    return struct.pack("<Bq", width, base) + offsets.astype(f"<u{width}").tobytes()
 
-    def run(batches):
-        for b in batches:
-            yield pa.RecordBatch.from_pydict(fn(b.to_pydict()), schema=schema)
 
-    return run
+def unpack_ints(data: bytes) -> np.ndarray:
+    width, base = struct.unpack_from("<Bq", data)
+    offsets = np.frombuffer(data, f"<u{width}", offset=9).astype(np.uint64)
+    return (offsets + np.uint64(base % (1 << 64))).astype(np.int64)

@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 from issuelens.llm.common import pick, small_batches
 from issuelens.session import cut_lineage
@@ -119,20 +120,23 @@ def blocks_of(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[
         yield [tuple(r) for r in b.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).collect()]
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 10, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, carry: tuple[str, ...] = (), size: int = 10, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per document: n_words, n_hit, the items found and ``contaminated`` (any word hit).
 
     One row a document, also for repeated rows and null ids; a null text has
     no words.  Items without words match nothing; an item with a null id marks
     words but isn't counted.  The benchmark is a query set: its search tables
     go to the tasks in blocks of ``block_bytes``, one pass over the documents
-    a block, and a pass hands on which words are hit.  Extra columns are ignored.
+    a block, and a pass hands on which words are hit.  The columns of ``carry`` come
+    along; all others are ignored.
     """
     spark = docs.sparkSession
     small_batches(spark)
-    d = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.lit(None).cast("binary").alias("hits"), F.array().cast("array<string>").alias("items"))
-    types = "doc_id long, text string, n_words long, hits binary, n_hit long, items array<string>"
-    schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("n_words", pa.int64()), ("hits", pa.binary()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string()))])
+    carry = tuple(c for c in carry if c != "doc_id")
+    d = pick(docs, "doc_id", "text", *(c for c in carry if c != "text"))
+    d = d.select(F.col("doc_id").cast("long").alias("doc_id"), *carry, F.col("text").alias("_text"), F.lit(None).cast("binary").alias("_hits"), F.array().cast("array<string>").alias("items"))
+    handed = ("doc_id", *carry)
+    types = StructType(list(d.schema.fields)).add("n_words", "long").add("n_hit", "long")
 
     def passing(block, last: bool):
         """One pass: a further pass gets the text and the words hit so far, the last one's output gets neither."""
@@ -141,7 +145,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 10, block_b
             bench = Benchmark(block.value, size)
             for b in batches:
                 n, hits, n_hit, items = [], [], [], []
-                for t, h, it in zip(b.column("text").to_pylist(), b.column("hits").to_pylist(), b.column("items").to_pylist(), strict=True):
+                for t, h, it in zip(b.column("_text").to_pylist(), b.column("_hits").to_pylist(), b.column("items").to_pylist(), strict=True):
                     k, hit, found = bench.search(t)
                     if h is not None:
                         hit |= np.unpackbits(np.frombuffer(h, np.uint8), count=k).astype(bool)
@@ -149,15 +153,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 10, block_b
                     hits.append(None if last else np.packbits(hit).tobytes())
                     n_hit.append(int(hit.sum()))
                     items.append(sorted({*it, *(str(x) for x in found if x is not None)}))
-                text = pa.nulls(len(n), pa.string()) if last else b.column("text")
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), text, pa.array(n, pa.int64()), pa.array(hits, pa.binary()), pa.array(n_hit, pa.int64()), pa.array(items, pa.list_(pa.string()))], schema=schema)
+                text = pa.nulls(len(n), pa.string()) if last else b.column("_text")
+                cols = [text, pa.array(hits, pa.binary()), pa.array(items, pa.list_(pa.string())), pa.array(n, pa.int64()), pa.array(n_hit, pa.int64())]
+                yield pa.RecordBatch.from_arrays([*(b.column(c) for c in handed), *cols], names=types.names)
 
         return run
 
     held = None
     for block in blocks_of(benchmark, block_bytes):
         if held is not None:
-            d = cut_lineage(d.mapInArrow(passing(held, False), types).select("doc_id", "text", "hits", "items"))
+            d = cut_lineage(d.mapInArrow(passing(held, False), types).drop("n_words", "n_hit"))
         held = spark.sparkContext.broadcast(block)
     d = d.mapInArrow(passing(held, True), types)
-    return d.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items", (F.col("n_hit") > 0).alias("contaminated"))
+    return d.select(*handed, "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items", (F.col("n_hit") > 0).alias("contaminated"))

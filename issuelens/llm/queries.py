@@ -5,7 +5,7 @@ from __future__ import annotations
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
-from issuelens.llm import decontaminate, packing, sharding, token_counts, token_store
+from issuelens.llm import decontaminate, jaccard, packing, passages, quality, sharding, token_counts, token_store
 from issuelens.llm.common import table
 
 
@@ -35,6 +35,23 @@ def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_store(token_store.write_store(table(spark, sf_dir, "documents")))
 
 
+def op6_repetition_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts of every text and the verdict of the repetition rules."""
+    q = quality.quality(table(spark, sf_dir, "documents"))
+    return q.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op9_seed_extend_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document that windows of smaller documents cover are cut."""
+    p = passages.dedup_passages(table(spark, sf_dir, "documents"))
+    return p.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's class of near duplicates and its text's number of links."""
+    return jaccard.jaccard_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "copy_of", "n_links")
+
+
 _OP1_SQL = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -60,10 +77,80 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(words.n, 0)::BIGINT AS n_
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+# Every repeated longer n-gram lies inside repeated five-word windows, so five words decide.
+_OP6_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), win AS (
+  SELECT doc_id, i, list_slice(w, i, i + 4) AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)
+), twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM win) WHERE n > 1),
+pos AS (SELECT DISTINCT doc_id, unnest(range(i, i + 5)) AS p FROM twice),
+rep AS (
+  SELECT doc_id, count(*) AS n, sum(length(w[p])) AS chars FROM pos JOIN d USING (doc_id) GROUP BY doc_id
+), lines AS (
+  SELECT doc_id, count(*) AS n, sum(chars) AS chars FROM (
+    SELECT doc_id, chars, row_number() OVER (PARTITION BY doc_id, line ORDER BY k) AS r FROM (
+      SELECT doc_id, k, line, length(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g')) AS chars FROM (
+        SELECT doc_id, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS k FROM d)))
+  WHERE r > 1 AND chars > 0 GROUP BY doc_id
+), m AS (
+  SELECT d.doc_id, len(w) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols, coalesce(lines.n, 0) AS n_dup_lines,
+         coalesce(rep.n, 0) AS n_repeat_words, coalesce(rep.chars, 0) AS rep_chars, coalesce(lines.chars, 0) AS line_chars
+  FROM d LEFT JOIN rep USING (doc_id) LEFT JOIN lines USING (doc_id)
+), v AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+       n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
+       NOT base_failed AND rep_chars <= 0.2 * word_chars AND line_chars <= 0.3 * word_chars AND n_symbols <= 0.1 * n_words AS kept
+FROM v
+"""
+
+_OP9_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), win AS (
+  SELECT doc_id, i, array_to_string(list_slice(w, i, i + 12), ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i
+  FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY g) AS first FROM win) WHERE first < doc_id
+), lost AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id),
+kept AS (
+  SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS k
+  FROM (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM d) ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(lost.n, 0)::BIGINT AS n_removed, sha256(coalesce(k, '')) AS kept_sha256
+FROM d LEFT JOIN lost USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+# Brute force: all texts that share a five-word n-gram are compared, and classes grow from the links.
+_OP10_SQL = r"""
+WITH RECURSIVE t AS (
+  SELECT coalesce(text, '') AS t, min(doc_id) AS id FROM documents GROUP BY 1
+), w AS (SELECT id, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM t),
+g AS (
+  SELECT DISTINCT id, array_to_string(list_slice(w, i, i + 4), ' ') AS g
+  FROM (SELECT id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM w WHERE len(w) > 0)
+), n AS (SELECT id, count(*) AS n FROM g GROUP BY id),
+links AS (
+  SELECT a, b FROM (SELECT x.id AS a, y.id AS b, count(*) AS k FROM g x JOIN g y ON x.g = y.g AND x.id <> y.id GROUP BY 1, 2) p
+  JOIN n na ON na.id = a JOIN n nb ON nb.id = b WHERE 9 * k >= 4 * (na.n + nb.n)
+), reach(id, c) AS (
+  SELECT id, id FROM t UNION SELECT l.b, r.c FROM reach r JOIN links l ON l.a = r.id
+), cls AS (SELECT id, min(c) AS class_id FROM reach GROUP BY id),
+deg AS (SELECT a AS id, count(*) AS n_links FROM links GROUP BY a)
+SELECT d.doc_id, cls.class_id, t.id AS copy_of, coalesce(deg.n_links, 0)::BIGINT AS n_links
+FROM documents d JOIN t ON t.t = coalesce(d.text, '') JOIN cls ON cls.id = t.id LEFT JOIN deg ON deg.id = t.id
+"""
+
 REGISTRY = {
     "op1_decontaminate": (op1_decontaminate, _OP1_SQL),
     "op2_hash_tree_shards": (op2_hash_tree_shards, None),
     "op3_pattern_packing": (op3_pattern_packing, None),
     "op4_token_counts": (op4_token_counts, None),
     "op5_token_store": (op5_token_store, None),
+    "op6_repetition_quality": (op6_repetition_quality, _OP6_SQL),
+    "op9_seed_extend_dedup": (op9_seed_extend_dedup, _OP9_SQL),
+    "op10_ngram_jaccard_join": (op10_ngram_jaccard_join, _OP10_SQL),
 }
