@@ -5,7 +5,7 @@ from __future__ import annotations
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
-from issuelens.llm import decontaminate, jaccard, packing, passages, quality, sharding, token_counts, token_store
+from issuelens.llm import decontaminate, html_text, jaccard, packing, passages, quality, sharding, token_counts, token_store, toxicity
 from issuelens.llm.common import table
 
 
@@ -41,6 +41,18 @@ def op6_repetition_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op7_lexicon_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every text by the lexicon learned from the labelled rows that aren't held out."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.toxicity(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op8_dom_graph_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page by the content marginals of its DOM nodes."""
+    pages = table(spark, sf_dir, "pages")
+    return html_text.extract(pages, html_text.train_on(pages))
+
+
 def op9_seed_extend_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document that windows of smaller documents cover are cut."""
     p = passages.dedup_passages(table(spark, sf_dir, "documents"))
@@ -151,6 +163,8 @@ REGISTRY = {
     "op4_token_counts": (op4_token_counts, None),
     "op5_token_store": (op5_token_store, None),
     "op6_repetition_quality": (op6_repetition_quality, _OP6_SQL),
+    "op7_lexicon_toxicity": (op7_lexicon_toxicity, None),
+    "op8_dom_graph_text": (op8_dom_graph_text, None),
     "op9_seed_extend_dedup": (op9_seed_extend_dedup, _OP9_SQL),
     "op10_ngram_jaccard_join": (op10_ngram_jaccard_join, _OP10_SQL),
 }
