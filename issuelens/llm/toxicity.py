@@ -24,7 +24,7 @@ import pyarrow as pa
 import pyspark.sql.functions as F
 from pyspark.sql import Column, DataFrame
 
-from issuelens.llm.common import pick, small_batches
+from issuelens.llm.common import pick, small_batches, staged
 
 #: Letters of other scripts that look like Latin ones, and signs written for letters.
 HOMOGLYPHS = {
@@ -38,6 +38,7 @@ SHORTEST, LONGEST = 3, 14
 LEAST_ROWS, LEAST_WEIGHT = 5, 2.0
 #: At most so many labelled rows are learned from; with more, those of least hash are taken.
 MOST_ROWS = 20_000
+COUNTS = pa.schema([("toxic", pa.int32()), ("term", pa.string()), ("n_rows", pa.int64()), ("types", pa.int64())])
 
 _ODD = re.compile(r"[^\x00-\x7f]")
 _TOKEN = re.compile(r"[^\W_]+(?:[@$]+[^\W_]+)*|[@$][^\W_]+")
@@ -102,50 +103,21 @@ class Lexicon:
     slopes: tuple[float, ...] = (0.0, 0.0, 0.0, -4.0)
 
 
-def learn(rows: list[tuple[str | None, int]]) -> Lexicon:
-    """Entries by their log odds among the distinct words of toxic and other rows.
+def choose(toxic_types: dict[str, int], other_types: dict[str, int], all_types: list[int]) -> dict[str, float]:
+    """Weights of the entries among terms, by the distinct words with each in toxic and other rows.
 
-    Too few labelled rows leave the lexicon empty; every score is then the same.
+    ``all_types`` are the distinct words of the other and of the toxic rows.
     """
-    folded = [(fold(t or ""), y) for t, y in rows]
-    held, rows_with, words_of_class = [Counter(), Counter()], Counter(), [0, 0]
-    for words, y in folded:
-        types = set(words)
-        words_of_class[y] += len(types)
-        here = Counter(t for w in types for t in terms(w))
-        held[y].update(here)
-        if y:
-            rows_with.update(here.keys())
-    weights = {}
-    for t, n in rows_with.items():
-        if n >= LEAST_ROWS:
-            w = math.log((held[1][t] + 0.5) / (held[0][t] + 1.5)) - math.log((words_of_class[1] + 1) / (words_of_class[0] + 1))
-            if w >= LEAST_WEIGHT:
-                weights[t] = w
-    # of nested beginnings that the same words have, the longest open one; of the rest those that weigh more than every shorter one
-    longer = Counter()
-    for t in held[1]:
-        if not t.endswith("$") and held[1][t] > longer[t[:-1]]:
-            longer[t[:-1]] = held[1][t]
-    weights = {t: w for t, w in weights.items() if longer[t] < 0.95 * held[1][t]}
-    weights = {t: w for t, w in weights.items() if all(weights.get(t[:n], 0.0) < w - 0.1 for n in range(SHORTEST, len(t)))}
-    lexicon = Lexicon(weights, set())
-    lexicon.exceptions = _exceptions(Matcher(lexicon), folded)
-    matcher = Matcher(lexicon)
-    x = np.array([[*matcher.strengths(w), 1.0] for w, _ in folded]).reshape(-1, 4)
-    lexicon.slopes = tuple(logistic(x, np.array([y for _, y in folded], float)).tolist())
-    return lexicon
-
-
-def _exceptions(matcher: Matcher, folded: list[tuple[list[str], int]]) -> set[tuple[str, str, str]]:
-    """Contexts of matches met in two or more rows that aren't toxic and in no toxic one."""
-    where: dict[tuple[str, str, str], Counter] = {}
-    for words, y in folded:
-        matched = {w for w in set(words) if matcher.weight(w)}
-        if matched:
-            for k in {(words[i - 1], w, words[i + 1]) for i, w in enumerate(words) if w in matched and 0 < i < len(words) - 1}:
-                where.setdefault(k, Counter())[y] += 1
-    return {k for k, c in where.items() if c[0] >= 2 and not c[1]}
+    base = math.log((all_types[1] + 1) / (all_types[0] + 1))
+    weights = {t: math.log((n + 0.5) / (other_types.get(t, 0) + 1.5)) - base for t, n in toxic_types.items()}
+    # of nested beginnings that the same words have, the longest open one
+    longer: Counter = Counter()
+    for t, n in toxic_types.items():
+        if not t.endswith("$") and n > longer[t[:-1]]:
+            longer[t[:-1]] = n
+    weights = {t: w for t, w in weights.items() if w >= LEAST_WEIGHT and longer[t] < 0.95 * toxic_types[t]}
+    # of the rest those that weigh more than every shorter one
+    return {t: w for t, w in weights.items() if all(weights.get(t[:n], 0.0) < w - 0.1 for n in range(SHORTEST, len(t)))}
 
 
 def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 60) -> np.ndarray:
@@ -174,11 +146,8 @@ class Matcher:
         if lexicon.weights:
             self.machine.make_automaton()
 
-    def weight(self, word: str) -> float:
-        """The greatest weight of the entries that the word matches."""
-        return self._weights([word]).get(word, 0.0)
-
-    def _weights(self, words: list[str]) -> dict[str, float]:
+    def matches(self, words: list[str]) -> dict[str, float]:
+        """Words that match an entry, each with the greatest weight of its entries."""
         if not self.lexicon.weights:
             return {}
         places, owners, parts, at = [], [], [], 0
@@ -198,7 +167,7 @@ class Matcher:
     def strengths(self, words: list[str]) -> tuple[float, float, float]:
         """The matches' weight (a word's further occurrences by their logarithm), its logarithm, and that per 1000 words."""
         counts = Counter(words)
-        weights = self._weights(list(counts))
+        weights = self.matches(list(counts))
         if not weights:
             return 0.0, 0.0, 0.0
         if self.lexicon.exceptions:
@@ -219,19 +188,85 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(True))
 
 
-def train(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS) -> Lexicon:
-    """Learn from at most ``most_rows`` labelled rows outside the held-out third.
+def sample(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS) -> DataFrame:
+    """(text, toxic) of at most ``most_rows`` labelled documents outside the held-out third, those of least hash.
 
-    The bounded sample is the rows of least hash; a doc_id labelled more than
-    once takes its greatest label.  Labels without a document, and null labels, are left out.
+    A doc_id labelled more than once takes its greatest label, a document that
+    repeats counts once.  Labels without a document, and null labels, are left out.
     """
     y = pick(labels, "doc_id", "toxic").where("doc_id is not null and toxic is not null")
-    y = y.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
+    y = y.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.max(F.col("toxic").cast("int")) > 0).cast("int").alias("toxic"))
     y = y.where(~held_out(F.col("doc_id"))).withColumn("rank", F.xxhash64("doc_id")).orderBy("rank", "doc_id").limit(most_rows)
     d = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = d.join(F.broadcast(y), "doc_id").select("doc_id", "text", "toxic")
-    rows = rows.dropDuplicates(["doc_id"]).orderBy("doc_id")
-    return learn([(r.text, int(r.toxic > 0)) for r in rows.toLocalIterator()])
+    return d.join(F.broadcast(y.drop("rank")), "doc_id").groupBy("doc_id", "toxic").agg(F.max("text").alias("text"))
+
+
+def train(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS) -> Lexicon:
+    """The lexicon learned from :func:`sample`, counted by tasks; only entries and three numbers a row reach the driver.
+
+    Too few labelled rows leave the lexicon empty; every score is then the same.
+    """
+    spark = docs.sparkSession
+    small_batches(spark)
+    rows = staged(sample(docs, labels, most_rows).select("text", "toxic"))
+
+    def counted(known: dict[str, int] | None):
+        """Terms of toxic rows (``known`` null), or the known terms and all distinct words of either class."""
+
+        def run(batches):
+            for b in batches:
+                here, with_ = Counter(), Counter()
+                for text, y in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist(), strict=True):
+                    types = set(fold(text or ""))
+                    found = Counter(t for w in types for t in terms(w) if known is None or t in known)
+                    here.update({(y, t): n for t, n in found.items()})
+                    with_.update([(y, t) for t in found])
+                    here[y, ""] += len(types)
+                keys = list(here)
+                yield pa.RecordBatch.from_pydict({"toxic": [k[0] for k in keys], "term": [k[1] for k in keys], "n_rows": [with_[k] for k in keys], "types": [here[k] for k in keys]}, schema=COUNTS)
+
+        return run
+
+    def total(source: DataFrame, known: dict[str, int] | None) -> DataFrame:
+        return source.mapInArrow(counted(known), "toxic int, term string, n_rows long, types long").groupBy("toxic", "term").agg(F.sum("n_rows").alias("n_rows"), F.sum("types").alias("types"))
+
+    toxic = {r.term: r.types for r in total(rows.where("toxic = 1"), None).where(f"n_rows >= {LEAST_ROWS} and term <> ''").collect()}
+    other, all_types = {}, [0, 0]
+    for r in total(rows, toxic).collect():
+        if not r.term:
+            all_types[r.toxic] = r.types
+        elif not r.toxic:
+            other[r.term] = r.types
+    lexicon = Lexicon(choose(toxic, other, all_types), set())
+
+    def contexts(batches):
+        matcher = Matcher(lexicon)
+        for b in batches:
+            out = []
+            for text, y in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist(), strict=True):
+                words = fold(text or "")
+                matched = matcher.matches(list(set(words)))
+                if matched:
+                    around = {(words[i - 1], w, words[i + 1]) for i, w in enumerate(words) if w in matched and 0 < i < len(words) - 1}
+                    out.extend((*k, y) for k in around)
+            cols = list(zip(*out, strict=True)) or [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.string()] * 3 + [pa.int32()], strict=True)], names=["before", "word", "after", "toxic"])
+
+    met = rows.mapInArrow(contexts, "before string, word string, after string, toxic int").groupBy("before", "word", "after")
+    met = met.agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("toxic")).where("n >= 2 and toxic = 0")
+    lexicon.exceptions = {(r.before, r.word, r.after) for r in met.collect()}
+
+    def measured(batches):
+        matcher = Matcher(lexicon)
+        for b in batches:
+            x = [matcher.strengths(fold(t or "")) for t in b.column("text").to_pylist()]
+            cols = list(zip(*x, strict=True)) or [()] * 3
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.float64()) for c in cols), b.column("toxic")], names=["a", "b", "c", "toxic"])
+
+    x = np.array([tuple(r) for r in rows.mapInArrow(measured, "a double, b double, c double, toxic int").collect()], float).reshape(-1, 4)
+    if len(x):
+        lexicon.slopes = tuple(logistic(np.c_[x[:, :3], np.ones(len(x))], x[:, 3]).tolist())
+    return lexicon
 
 
 def toxicity(docs: DataFrame, lexicon: Lexicon, limit: float = 0.7) -> DataFrame:
