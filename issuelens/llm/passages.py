@@ -89,9 +89,9 @@ def _asked(lot: int, keys: np.ndarray, docs: np.ndarray, buckets: int) -> pa.Rec
     head = keys if keys.ndim == 1 else keys[:, 0]
     bucket = (head % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
-    cuts = np.flatnonzero(np.r_[True, np.diff(bucket[order]) != 0]) if len(order) else np.empty(0, np.int64)
+    ends = [*(np.flatnonzero(np.diff(bucket[order])) + 1).tolist(), len(order)] if len(order) else []
     rows = []
-    for i, j in zip(cuts.tolist(), [*cuts[1:].tolist(), len(order)], strict=True):
+    for i, j in zip([0, *ends], ends, strict=False):
         at = order[i:j]
         rows.append((lot, int(bucket[at[0]]), keys[at].tobytes(), pack_ints(low[at]), np.packbits(low[at] < high[at]).tobytes()))
     cols = list(zip(*rows, strict=True)) or [()] * 5
