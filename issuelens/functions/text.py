@@ -81,9 +81,28 @@ def squeeze_hspace(text) -> Column:
     return F.regexp_replace(_c(text), f"[{HSPACE_CHARS}]{{2,}}", " ")
 
 
+def _after_last(text: Column, closing: str, opening: str, instead: str) -> Column:
+    """``text`` with ``opening`` replaced behind the last match of ``closing``.
+
+    A block comment that opens behind the last possible closing can't match,
+    yet every such opening would make the engine scan to the end of the text.
+    One greedy match finds the last closing; the rest gets its openings
+    blotted out, so the comment patterns stay linear in the text.
+    """
+    head = F.regexp_extract(text, rf"(?d)\A([\s\S]*{closing})", 1)
+    tail = F.substring(text, F.length(head) + F.lit(1), F.length(text))
+    return F.concat(head, F.regexp_replace(tail, opening, instead))
+
+
 def loc(text) -> Column:
-    """lines of code of one file (non-blank lines left after the filter)."""
-    cleaned = F.regexp_replace(squeeze_hspace(text), LOC_STRIP_JAVA, "")
+    """lines of code of one file (non-blank lines left after the filter).
+
+    A closing that fills its line is one followed by blanks up to a line end.
+    Openings at line starts become two letters: the line stays a line.
+    """
+    h = f"[{WS_CHARS.replace(chr(92) + 'n', '')}]"
+    text = _after_last(squeeze_hspace(text), rf"\*/(?={h}*(?:\n|\z))", rf"(?md)^({h}*)/\*", "$1xx")
+    cleaned = F.regexp_replace(text, LOC_STRIP_JAVA, "")
     return count_lines_with_text(cleaned, f"[{LINE_SEP_CHARS}]+")
 
 
@@ -98,8 +117,13 @@ def count_lines_with_text(text, separators: str) -> Column:
 
 
 def comment_lines(text) -> Column:
-    """comment lines of one file; a block comment counts each of its lines."""
-    matches = F.regexp_extract_all(_c(text), F.lit("(?d)" + COMMENT), 1)
+    """comment lines of one file; a block comment counts each of its lines.
+
+    Openings behind the last closing are blotted out, but for those behind a
+    slash or at the very start of that rest, which may be parts of ``//``.
+    """
+    text = _after_last(_c(text), r"\*/", r"(?<=[^/])/\*", "xx")
+    matches = F.regexp_extract_all(text, F.lit("(?d)" + COMMENT), 1)
     return F.aggregate(
         matches, F.lit(0).cast("bigint"),
         lambda acc, m: acc + F.size(F.split(m, "\n", -1)).cast("bigint"),
