@@ -10,7 +10,7 @@ mirrored by rounding a decimal cast of the value's text.
 
 from __future__ import annotations
 
-from ..functions.text import (CODE_SUFFIXES_AFTER, CODE_SUFFIXES_BEFORE, COMMENT, ISSUE_REF, LEX_TOKEN,
+from ..functions.text import (CODE_SUFFIXES_AFTER, CODE_SUFFIXES_BEFORE, COMMENT, LEX_TOKEN,
                               LINE_SEP_CHARS, LOC_STRIP_RE2, NON_WS, OPERAND_START, WORD_TOKEN)
 
 B4_DECISIONS = ("and", "or", "for", "if", "the")
@@ -134,9 +134,9 @@ V_VERSIONS = """versions as (
   from conversations)"""
 
 V_ATTEMPTS = """attempts as (
-  select *, case event_type when 'error' then 403 when 'purchase' then 404 else 200 end status
-  from (select *, row_number() over (partition by user_id order by ts, event_id) attempt from events)
-  where attempt <= 2)"""
+  select *, case when event_id % 7 = 3 then null when event_type = 'error' then 403
+                 when event_type = 'purchase' then 404 else 200 end status
+  from (select *, row_number() over (partition by user_id order by ts, event_id) attempt from events))"""
 
 V_RESPONSES = """responses as (
   select cast(user_id as bigint) issue_id, cast(attempt as integer) attempt, cast(status as integer) status,
@@ -146,7 +146,7 @@ V_RESPONSES = """responses as (
 
 V_LIST_RESPONSES = """list_responses as (
   select cast(user_id as bigint) request_id, cast(attempt as integer) attempt, cast(status as integer) status,
-         '[{"number": ' || cast(event_id as varchar) || '}]' payload
+         '[{"number": ' || case when event_id % 5 = 1 then '"n/a"' else cast(event_id as varchar) end || '}]' payload
   from attempts)"""
 
 V_ISSUES = """issues as (
@@ -177,11 +177,13 @@ def ladder_sql() -> str:
   select issue_id,
     case when s1 is null then 'Issue #' || cast(issue_id as varchar) || ' (error fetching description)'
          when s1 = 200 then {body('p1')}
-         when s1 = 403 then case when s2 = 200 then {body('p2')} else null end
+         when s1 = 403 then case when s2 = 200 then {body('p2')}
+           when n2 > 0 and s2 is null then 'Issue #' || cast(issue_id as varchar) || ' (error fetching description)' end
          else 'Issue #' || cast(issue_id as varchar) || ' (not found)' end issue_description
   from (select issue_id,
           max(case when attempt = 1 then status end) s1, max(case when attempt = 1 then payload end) p1,
-          max(case when attempt = 2 then status end) s2, max(case when attempt = 2 then payload end) p2
+          max(case when attempt = 2 then status end) s2, max(case when attempt = 2 then payload end) p2,
+          count(*) filter (where attempt = 2) n2
         from responses group by issue_id))"""
 
 
@@ -198,12 +200,6 @@ def vec_key_sql(tok: str) -> str:
     return f"((ascii({tok}) * 31 + length({tok})) % (select n from nvec))"
 
 
-def refs_sql(col: str) -> str:
-    """Distinct issue keys referenced in a message (same expansion as the Spark side) -- unused
-    by the oracle, which tests the substring predicate directly."""
-    return f"regexp_extract_all({col}, {lit(ISSUE_REF)}, 1)"
-
-
 def with_(*ctes: str) -> str:
     return "with " + ",\n".join(ctes) + "\n"
 

@@ -30,21 +30,15 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 N_TREES = 20
 
 
-_READS: dict = {}
 # Tables whose rows feed per-row regex work (texts, commit messages): spread when under-split.
 # Plain aggregation inputs are not: partial aggregation in one task is cheaper than an extra stage.
 REGEX_TABLES = ("documents", "pages", "conversations", "orders")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table; the reader is built once per session (no repeated footer/listing jobs)."""
-    key = (id(spark), sf_dir, name)
-    if key not in _READS:
-        df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-        if name in REGEX_TABLES:
-            df = ensure_parallelism(df)
-        _READS[key] = df
-    return _READS[key]
+    """A driver table."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return ensure_parallelism(df) if name in REGEX_TABLES else df
 
 
 def commits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,8 +129,10 @@ def file_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _event_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    return (e.withColumn("attempt", F.row_number().over(w)).where(F.col("attempt") <= 2)
-            .withColumn("status", F.when(F.col("event_type") == "error", 403)
+    # every event is an attempt; some raised (NULL status)
+    return (e.withColumn("attempt", F.row_number().over(w))
+            .withColumn("status", F.when(F.col("event_id") % 7 == 3, F.lit(None).cast("int"))
+                        .when(F.col("event_type") == "error", 403)
                         .when(F.col("event_type") == "purchase", 404).otherwise(200)))
 
 
@@ -152,7 +148,8 @@ def issue_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def list_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Captured 'list closed issues' responses, one request per user."""
     a = _event_attempts(spark, sf_dir)
-    payload = F.concat(F.lit('[{"number": '), F.col("event_id").cast("string"), F.lit("}]"))
+    number = F.when(F.col("event_id") % 5 == 1, F.lit('"n/a"')).otherwise(F.col("event_id").cast("string"))
+    payload = F.concat(F.lit('[{"number": '), number, F.lit("}]"))
     return a.select(F.col("user_id").cast("bigint").alias("request_id"), F.col("attempt").cast("int"),
                     F.col("status").cast("int"), payload.alias("payload"))
 
