@@ -2,6 +2,7 @@
 
     python -m issuelens --tables DIR [--start N] [--end N] [--output PATH] [--overwrite]
                         [--duplication blocks|lint] [--lint-report PATH] [--python-mode]
+                        [--master URL] [--profile local|cluster]
 
 ``DIR`` holds parquet folders ``commits``, ``commit_files``, ``trees``
 (snapshot files), ``blobs``, ``responses`` (captured issue API responses),
@@ -20,7 +21,7 @@ import sys
 from .operators.descriptions import issue_range, last_closed_issue
 from .operators.embed import VectorLookup
 from .plans.dataset import build_issue_dataset
-from .session import get_spark
+from .session import drop_cut_tables, get_spark
 from .sources import tables as S
 from .sources.sinks import write_dataset
 from . import schemas
@@ -36,7 +37,9 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--duplication", choices=("blocks", "lint"), default="blocks")
     p.add_argument("--lint-report", help="text file of a linter report (with --duplication lint)")
     p.add_argument("--python-mode", action="store_true", help="complexity / Halstead from the Python parser")
-    p.add_argument("--master", default=None, help="Spark master (default: the session's)")
+    p.add_argument("--master", default=None, help="Spark master (default: what spark-submit says)")
+    p.add_argument("--profile", choices=("local", "cluster"), default="local",
+                   help="cluster: sizes for a large cluster (splits, shuffle partitions, broadcasts)")
     return p.parse_args(argv)
 
 
@@ -45,7 +48,7 @@ def main(argv=None) -> int:
     if args.start > args.end:
         print("start issue number must be less than or equal to end issue number", file=sys.stderr)
         return 1
-    spark = get_spark(args.master) if args.master else get_spark()
+    spark = get_spark(args.master, profile=args.profile)
     t = lambda name: os.path.join(args.tables, name)
     last = None
     if args.end == 1:
@@ -60,6 +63,7 @@ def main(argv=None) -> int:
         lint_lines=S.scan_lint_lines(spark, args.lint_report) if args.lint_report else None,
         duplication=args.duplication, mode="python" if args.python_mode else "lexical")
     write_dataset(ds, args.output, mode="overwrite" if args.overwrite else "append")
+    drop_cut_tables(spark)
     return 0
 
 

@@ -16,8 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SAMPLE_PER_CHUNK = 20
-# Enough pieces to spread any hot group; keeps the chunk expression compact.
-MAX_DEFAULT_CHUNKS = 256
+# Up to so many chunks their search is written out as nested CASE (code is generated for it).
+WRITTEN_OUT = 256
 
 
 def _chunk_of(key: Column, bounds, lo: int, hi: int) -> Column:
@@ -34,45 +34,74 @@ def _chunk_of(key: Column, bounds, lo: int, hi: int) -> Column:
         _chunk_of(key, bounds, mid + 1, hi))
 
 
+def _chunk_searched(key: Column, bounds) -> Column:
+    """The same binary search over one array literal, for thousands of bounds."""
+    among = F.array(*bounds)
+
+    def halve(acc, _):
+        mid = F.floor((acc["lo"] + acc["hi"]) / 2).cast("int")
+        go, left = acc["lo"] < acc["hi"], key < F.get(among, mid)
+        return F.struct(F.when(go & ~left, mid + 1).otherwise(acc["lo"]).alias("lo"),
+                        F.when(go & left, mid).otherwise(acc["hi"]).alias("hi"))
+
+    start = F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(len(bounds).bit_length())), start, halve)["lo"]
+
+
 def _sort_key(row):
     return tuple((v is not None, v) for v in row)
 
 
-def rank_within(df: DataFrame, group_cols, order_cols, out: str = "rank",
-                num_chunks: int | None = None, seed: int = 17) -> DataFrame:
-    """``row_number() over (partition by group_cols order by order_cols)`` as ``out`` (bigint).
+def _bounds(df: DataFrame, key, n: int, seed: int) -> list[tuple]:
+    """At most n - 1 distinct keys that cut ``df`` into like parts, from a seeded sample of about 20 n keys."""
+    total = df.count() if n > 1 else 0
+    if not total:
+        return []
+    frac = min(1.0, SAMPLE_PER_CHUNK * n / total)
+    sample = sorted((tuple(r) for r in df.select(*key).sample(fraction=frac, seed=seed).collect()), key=_sort_key)
+    out = []
+    for i in range(1, n) if sample else ():
+        b = sample[(i * len(sample)) // n]
+        if not out or out[-1] != b:
+            out.append(b)
+    return out
 
-    ``order_cols`` must make the order total inside a group (ties would be
-    ranked arbitrarily, as with row_number itself).
+
+def prefix_within(df: DataFrame, group_cols, order_cols, out: str, value: str | None = None,
+                  num_chunks: int | None = None, seed: int = 17) -> DataFrame:
+    """Per row the sum of ``value`` (rows, if None) over the rows before it in its group, as ``out`` (bigint).
+
+    ``order_cols`` must make the order total inside a group.  Rows whose group
+    is NULL are a group like others.  There are as many chunks as shuffle
+    partitions unless ``num_chunks`` says otherwise.
     """
     group_cols, order_cols = list(group_cols), list(order_cols)
     key = group_cols + order_cols
-    spark = df.sparkSession
-    n = num_chunks or min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_DEFAULT_CHUNKS)
-    bounds = []
-    if n > 1:
-        total = df.count()
-        if total > 0:
-            frac = min(1.0, SAMPLE_PER_CHUNK * n / total)
-            sample = sorted((tuple(r) for r in df.select(*key).sample(fraction=frac, seed=seed).collect()),
-                            key=_sort_key)
-            if sample:
-                bounds = [sample[(i * len(sample)) // n] for i in range(1, n)]
-                uniq = []
-                for b in bounds:
-                    if not uniq or uniq[-1] != b:
-                        uniq.append(b)
-                bounds = uniq
+    bounds = _bounds(df, key, num_chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), seed)
     types = {f.name: f.dataType for f in df.schema.fields}
     literals = [F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(key, b)]) for b in bounds]
-    keyed = df.withColumn("_key", F.struct(*[F.col(c) for c in key]))
-    chunked = keyed.withColumn("_chunk", _chunk_of(F.col("_key"), literals, 0, len(literals))
-                               if literals else F.lit(0)).drop("_key")
-    local = chunked.withColumn("_lr", F.row_number().over(Window.partitionBy("_chunk", *group_cols).orderBy(*order_cols)))
-    sizes = chunked.groupBy("_chunk", *group_cols).agg(F.count(F.lit(1)).alias("_n"))
-    offsets = sizes.withColumn(
-        "_off", F.coalesce(F.sum("_n").over(Window.partitionBy(*group_cols).orderBy("_chunk")
-                                            .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return (local.join(offsets.select("_chunk", *group_cols, "_off"), ["_chunk", *group_cols], "inner")
-            .withColumn(out, (F.col("_lr") + F.col("_off")).cast("bigint"))
-            .drop("_chunk", "_lr", "_off"))
+    chunk = F.lit(0)
+    if literals:
+        k = F.col("_key")
+        chunk = _chunk_of(k, literals, 0, len(literals)) if len(literals) <= WRITTEN_OUT else _chunk_searched(k, literals)
+    chunked = (df.withColumn("_key", F.struct(*[F.col(c) for c in key])).withColumn("_chunk", chunk).drop("_key"))
+    amount = F.lit(1) if value is None else F.coalesce(F.col(value), F.lit(0))
+    before = Window.partitionBy("_chunk", *group_cols).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
+    local = chunked.withColumn("_lr", F.coalesce(F.sum(amount).over(before), F.lit(0)))
+    sizes = chunked.groupBy("_chunk", *group_cols).agg(F.sum(amount).alias("_n"))
+    offsets = sizes.select(
+        F.col("_chunk").alias("_oc"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(group_cols)],
+        F.coalesce(F.sum("_n").over(Window.partitionBy(*group_cols).orderBy("_chunk")
+                                    .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    same = F.col("_chunk") == F.col("_oc")
+    for i, c in enumerate(group_cols):
+        same = same & F.col(c).eqNullSafe(F.col(f"_o{i}"))
+    return (local.join(offsets, same, "inner").withColumn(out, (F.col("_lr") + F.col("_off")).cast("bigint"))
+            .select(*df.columns, out))
+
+
+def rank_within(df: DataFrame, group_cols, order_cols, out: str = "rank",
+                num_chunks: int | None = None, seed: int = 17) -> DataFrame:
+    """``row_number() over (partition by group_cols order by order_cols)`` as ``out`` (bigint)."""
+    ranked = prefix_within(df, group_cols, order_cols, out, None, num_chunks, seed)
+    return ranked.withColumn(out, F.col(out) + F.lit(1).cast("bigint"))

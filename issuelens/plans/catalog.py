@@ -170,11 +170,15 @@ def p1(spark, d):
 
 
 @register("p2_with_commits", O.with_(O.V_COMMITS) + """
-select cast(c_custkey as bigint) issue_id from customer
-where exists (select 1 from commits where contains(message, '#' || cast(c_custkey as varchar)))""")
+select i.n issue_id from (select cast(c_custkey as bigint) n from customer
+                      union all select cast(c_custkey as bigint) + 100000000 from customer) i
+where exists (select 1 from commits m where contains(m.message, '#' || cast(i.n as varchar)))""")
 def p2(spark, d):
-    links = LI.link_commits_to_issues(B.issues_from_customers(spark, d), B.commits(spark, d).select("sha", "message"))
-    return LI.with_commits(B.issues_from_customers(spark, d), links)
+    """Issues are the customers and as many numbers that no commit mentions."""
+    customers = B.issues_from_customers(spark, d)
+    issues = customers.unionByName(customers.select((F.col("issue_id") + F.lit(100000000)).alias("issue_id")))
+    links = LI.link_commits_to_issues(issues, B.commits(spark, d).select("sha", "message"))
+    return LI.with_commits(issues, links)
 
 
 @register("p3_valid_description", O.with_(O.V_ATTEMPTS, O.V_RESPONSES, O.ladder_sql(), O.V_VALID) +
@@ -195,10 +199,13 @@ def p4b(spark, d):
     return B.snapshot_files(spark, d).where(SN.is_code_path_after(F.col("path"))).select("snapshot_sha", "path")
 
 
-@register("p5_is_text", "select doc_id, true valid_utf8 from documents")
+@register("p5_is_text", "select doc_id, doc_id % 7 <> 0 valid_utf8 from documents")
 def p5(spark, d):
+    """Every seventh document's bytes get a byte that no UTF-8 text has."""
     docs = B.table(spark, d, "documents")
-    return docs.select("doc_id", T.is_text(F.encode("text", "UTF-8")).alias("valid_utf8"))
+    content = F.encode("text", "UTF-8")
+    content = F.when(F.col("doc_id") % 7 == 0, F.concat(content, F.unhex(F.lit("FF")))).otherwise(content)
+    return docs.select("doc_id", T.is_text(content).alias("valid_utf8"))
 
 
 @register("p6_is_blob", O.with_(O.V_CODE_DOCS, O.V_SNAPSHOT_FILES) +
@@ -450,9 +457,9 @@ dd as (select snapshot_sha, cast(count(*) filter (where n > 1) as bigint) dup
 select t.snapshot_sha, coalesce(dd.dup, 0) CodeDuplication
 from (select distinct snapshot_sha from files_before) t left join dd on dd.snapshot_sha = t.snapshot_sha""")
 def a12(spark, d):
-    files = _files(spark, d, T.CODE_SUFFIXES_BEFORE)
-    hashed = files.select("snapshot_sha", DU.block_hashes(F.col("text"), O.DUP_WINDOW).alias("hashes"))
-    return DU.duplicate_blocks(hashed, ["snapshot_sha"])
+    entries = SN.tree_entries(B.snapshot_files(spark, d), T.CODE_SUFFIXES_BEFORE)
+    hashed = SN.text_blobs(B.blobs(spark, d)).select("blob_sha", DU.block_hashes(F.col("text"), O.DUP_WINDOW).alias("hashes"))
+    return DU.duplicate_blocks(entries.join(hashed, "blob_sha", "inner"), ["snapshot_sha"])
 
 
 @register("a13_lint_count", """
@@ -469,8 +476,9 @@ fo as (select *, coalesce(sum(c) over (partition by snapshot_sha order by seq
 lead as (select * from fo where off < 512)"""
 
 
-@register("a14_stack_codebase", O.with_(O.V_CODE_DOCS, O.V_SNAPSHOT_FILES, O.V_BLOBS, O.V_FILES_BEFORE) + "," + _LEAD_SQL + """
-select snapshot_sha, string_agg(text, '' order by seq) stacked from lead group by snapshot_sha""")
+@register("a14_stack_codebase", O.with_(O.V_CODE_DOCS, O.V_SNAPSHOT_FILES, O.V_BLOBS, O.V_FILES_BEFORE) + """
+select snapshot_sha, seq, text, cast(coalesce(sum(length(text)) over (partition by snapshot_sha order by seq
+         rows between unbounded preceding and 1 preceding), 0) as bigint) char_offset from files_before""")
 def a14(spark, d):
     return EM.stack_codebase(_files(spark, d, T.CODE_SUFFIXES_BEFORE), ["snapshot_sha"])
 
@@ -817,37 +825,3 @@ def e3(spark, d):
     from .tracker import track_issue_changes
     return track_issue_changes(B.issues_from_customers(spark, d), B.commits(spark, d), B.commit_files(spark, d),
                                seed=O.SEED)
-
-
-# ---------------------------------------------------------------------------
-# Python-only exact mode (no SQL oracle: the figures come from a Python parser)
-
-def _python_sources(spark, d) -> DataFrame:
-    """Per document a Python function with one guarded statement per sentence; German
-    documents stay prose, i.e. files that do not parse."""
-    docs = B.table(spark, d, "documents")
-    sentences = F.split(F.col("text"), r"[.!?] ")
-    body = F.array_join(F.transform(sentences, lambda s, i: F.concat(
-        F.lit("    if x > "), F.length(s).cast("string"), F.lit(" and x != "), i.cast("string"),
-        F.lit(":\n        x = x + 1\n"))), "")
-    code = F.when(F.col("lang") == "de", F.col("text")).otherwise(
-        F.concat(F.lit("def f(x):\n"), body, F.lit("    return x\n")))
-    return docs.select(F.col("doc_id").cast("string").alias("blob_sha"), code.alias("text"))
-
-
-@register("u1_python_blocks", None)
-def u1(spark, d):
-    from ..operators.pyblocks import python_blocks
-    return python_blocks(_python_sources(spark, d))
-
-
-@register("u1_python_tree_metrics", None)
-def u1_trees(spark, d):
-    """A9-A11 over Python-mode figures: per source tree, mean of file means, Halstead sums, broken shares."""
-    from ..operators.pyblocks import python_blob_metrics
-    docs = B.table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("blob_sha"), "source")
-    files = docs.join(python_blob_metrics(_python_sources(spark, d)), "blob_sha", "inner")
-    m = CM.all_metrics(files, ["source"])
-    return m.select("source", "LOC", "CyclomaticComplexity",
-                    *[F.col(f"HalsteadMetrics.{f}").alias(f) for f in CM.HALSTEAD_FIELDS],
-                    "MaintainabilityIndex", "broken_pct_complexity", "broken_pct_halstead")

@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Tables written by cut_lineage and not yet dropped.
+_TABLES: list[str] = []
+
 # Settings every job of this library relies on.  AQE re-plans joins at runtime
 # (broadcast only when the measured side is small, skew splitting otherwise).
 DEFAULT_CONF = {
@@ -37,23 +40,29 @@ CLUSTER_CONF = {
 }
 
 
-def get_spark(master: str | None = "local[*]", shuffle_partitions: int = 8, app: str = "issuelens",
+def session_conf(shuffle_partitions: int | None = None, extra: dict | None = None, profile: str = "local") -> dict:
+    """The settings of :func:`get_spark`."""
+    conf = dict(DEFAULT_CONF)
+    if profile == "cluster":
+        conf.update(CLUSTER_CONF)
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    return {**conf, **(extra or {})}
+
+
+def get_spark(master: str | None = None, shuffle_partitions: int | None = None, app: str = "issuelens",
               extra: dict | None = None, profile: str = "local") -> SparkSession:
     """The session for this library.
 
-    ``profile="cluster"`` applies :data:`CLUSTER_CONF` (master and the
-    checkpoint folder then come from the deployment: pass ``master=None``).
+    ``profile="cluster"`` applies :data:`CLUSTER_CONF`; master and the
+    checkpoint folder then come from the deployment (``master=None``: what
+    spark-submit says).  ``shuffle_partitions`` sets that number, else the
+    profile's or Spark's own holds.
     """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
-    if profile == "cluster":
-        conf.update(CLUSTER_CONF)
-    else:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
-    for k, v in conf.items():
+    for k, v in session_conf(shuffle_partitions, extra, profile).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("WARN")
@@ -88,4 +97,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = ensure_checkpoint_dir(spark).rstrip("/") + f"/tables/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    _TABLES.append(path)
     return spark.read.parquet(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists, on whatever file system it is."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(p)
+
+
+def drop_cut_tables(spark: SparkSession) -> int:
+    """Delete the tables that :func:`cut_lineage` wrote in this program; for use once the results are written."""
+    n = 0
+    while _TABLES:
+        p = spark._jvm.org.apache.hadoop.fs.Path(_TABLES.pop())
+        n += bool(p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(p, True))
+    return n

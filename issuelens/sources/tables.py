@@ -56,26 +56,6 @@ def scan_blobs(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return _read(spark, path, schemas.BLOBS, fmt)
 
 
-def scan_checkout(spark: SparkSession, root: str, snapshot_sha: str) -> tuple[DataFrame, DataFrame]:
-    """S4 for a checked-out working tree: (snapshot_files, blobs) from ``binaryFile``.
-
-    Paths are relative to ``root``; ``seq`` is the position in path order
-    (Git lists tree entries sorted by name); the blob id is the md5 of the
-    content, so equal files share their metrics.
-    """
-    from ..operators.ranking import rank_within
-
-    prefix = root.rstrip("/")
-    raw = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(prefix)
-           .select(F.col("path").alias("_abs"), "content"))
-    rel = F.regexp_extract(F.col("_abs"), r"\Q" + prefix + r"\E/(.*)$", 1)
-    files = raw.select(F.lit(snapshot_sha).alias("snapshot_sha"), rel.alias("path"),
-                       F.lit("blob").alias("entry_type"), F.md5("content").alias("blob_sha"), "content")
-    entries = rank_within(files.drop("content"), ["snapshot_sha"], ["path"], "seq")
-    blobs = files.select("blob_sha", "content").dropDuplicates(["blob_sha"])
-    return entries.select("snapshot_sha", "path", "seq", "entry_type", "blob_sha"), blobs
-
-
 def scan_file_versions(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Version log (path, sha, seq, committed_date, content) for J6-J8."""
     return _read(spark, path, schemas.FILE_VERSIONS, fmt)

@@ -3,6 +3,7 @@
 import duckdb
 import pytest
 
+from issuelens.plans.catalog import REGISTRY
 from issuelens.schemas import ISSUE_DATASET
 
 from conftest import SF_SMALL
@@ -26,9 +27,8 @@ def test_entry_runs_with_dataset_schema(spark):
 
 
 def test_every_query_has_a_plan_without_python_or_nested_loops(spark):
-    import __spark_entry__ as E
-    for name, fn in E.queries().items():
-        if name.startswith(("p7", "s5", "s6", "u1")):
+    for name, (fn, _sql) in REGISTRY.items():
+        if name.startswith(("p7", "s5", "s6")):
             continue
         plan = _plan(fn(spark, SF_SMALL))
         assert not any(n in plan for n in PYTHON_NODES), name
@@ -36,8 +36,7 @@ def test_every_query_has_a_plan_without_python_or_nested_loops(spark):
 
 
 def _oracle_names():
-    import __spark_entry__ as E
-    return sorted(E.oracle_sql())
+    return sorted(name for name, (_fn, sql) in REGISTRY.items() if sql)
 
 
 @pytest.fixture(scope="module")
@@ -51,11 +50,11 @@ def duck():
 
 @pytest.mark.parametrize("name", _oracle_names())
 def test_query_equals_duckdb_oracle(spark, duck, name):
-    import __spark_entry__ as E
     from scripts.check_oracle import digest
-    df = E.queries()[name](spark, SF_SMALL)
+    fn, sql = REGISTRY[name]
+    df = fn(spark, SF_SMALL)
     srows = [tuple(r) for r in df.collect()]
-    res = duck.execute(E.oracle_sql()[name])
+    res = duck.execute(sql)
     dcols = [c[0] for c in res.description]
     drows = res.fetchall()
     assert sorted(df.columns) == sorted(dcols)

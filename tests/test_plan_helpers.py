@@ -31,3 +31,45 @@ def test_ensure_parallelism_spreads_only_small_partition_counts(spark):
     assert ensure_parallelism(one).rdd.getNumPartitions() == target
     assert ensure_parallelism(many).rdd.getNumPartitions() == 16
     assert ensure_parallelism(one).count() == 1000
+
+
+def test_ranks_of_hot_and_null_groups(spark):
+    from pyspark.sql import functions as F
+
+    from issuelens.operators.ranking import prefix_within, rank_within
+    rows = [(None if i % 3 == 0 else i % 2, i) for i in range(600)]
+    df = spark.createDataFrame(rows, "g int, o int").repartition(5)
+    want, seen = {}, {}
+    for g, o in rows:
+        seen[g] = seen.get(g, 0) + 1
+        want[o] = seen[g]
+    for n in (1, 7, 300):                      # one chunk, nested CASE, array search
+        assert {r.o: r["rank"] for r in rank_within(df, ["g"], ["o"], num_chunks=n).collect()} == want
+    sums = {r.o: r.s for r in prefix_within(df.withColumn("v", F.lit(2)), ["g"], ["o"], "s", "v", 300).collect()}
+    assert sums == {o: 2 * (k - 1) for o, k in want.items()}
+
+
+def test_ensure_parallelism_leaves_large_scans(spark, monkeypatch):
+    from issuelens.sources import parallel
+    monkeypatch.setattr(parallel, "MAX_BYTES", 10)
+    one = spark.range(0, 1000, numPartitions=1)
+    assert ensure_parallelism(one).rdd.getNumPartitions() == 1
+
+
+def test_cluster_profile_reaches_the_configuration():
+    from issuelens.__main__ import parse_args
+    from issuelens.session import CLUSTER_CONF, session_conf
+    args = parse_args(["--tables", "t", "--profile", "cluster"])
+    conf = session_conf(profile=args.profile)
+    assert args.master is None and all(conf[k] == v for k, v in CLUSTER_CONF.items())
+    assert conf["spark.sql.shuffle.partitions"] == "8000"
+    assert "spark.sql.shuffle.partitions" not in session_conf()
+
+
+def test_cut_tables_are_dropped(spark):
+    from issuelens.session import cut_lineage, drop_cut_tables, path_exists
+    drop_cut_tables(spark)
+    df = cut_lineage(spark.range(3))
+    path = df.inputFiles()[0].rsplit("/", 1)[0]
+    assert df.count() == 3 and path_exists(spark, path)
+    assert drop_cut_tables(spark) == 1 and not path_exists(spark, path)

@@ -1,4 +1,4 @@
-"""Sources and the combined-file writer: map-typed file stats (S2), a checkout (S4), S8 output."""
+"""Sources and the combined-file writer: map-typed file stats (S2), S8 output."""
 
 import os
 import uuid
@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from issuelens.operators.combine import HEADER, combine_files, write_combined
 from issuelens.session import ensure_checkpoint_dir
-from issuelens.sources.tables import explode_file_stats, scan_checkout
+from issuelens.sources.tables import explode_file_stats
 
 
 def _base(spark):
@@ -22,19 +22,6 @@ def test_explode_file_stats(spark):
     assert got == [("c1", "a.py", 3, 1), ("c1", "b.py", 0, 2)]
 
 
-def test_scan_checkout(spark):
-    root = _base(spark) + "/repo"
-    os.makedirs(f"{root}/pkg")
-    for rel, data in [("pkg/b.py", b"x = 1\n"), ("a.py", b"# c\n"), ("pkg/c.bin", bytes.fromhex("ff00")),
-                      ("d.py", b"x = 1\n")]:
-        with open(f"{root}/{rel}", "wb") as fh:
-            fh.write(data)
-    entries, blobs = scan_checkout(spark, root, "head")
-    got = sorted((r.path, r.seq) for r in entries.collect())
-    assert got == [("a.py", 1), ("d.py", 2), ("pkg/b.py", 3), ("pkg/c.bin", 4)]
-    assert blobs.count() == 3                       # d.py and pkg/b.py share one blob
-
-
 def test_write_combined_is_ordered(spark):
     files = spark.createDataFrame([("g1", "b.py", "B"), ("g1", "a.py", "A"), ("g2", "z.py", "Z")],
                                   "grp string, name string, text string")
