@@ -81,6 +81,11 @@ def squeeze_hspace(text) -> Column:
     return F.regexp_replace(_c(text), f"[{HSPACE_CHARS}]{{2,}}", " ")
 
 
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once (bound as a lambda variable)."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _after_last(text: Column, closing: str, opening: str, instead: str) -> Column:
     """``text`` with ``opening`` replaced behind the last match of ``closing``.
 
@@ -89,9 +94,12 @@ def _after_last(text: Column, closing: str, opening: str, instead: str) -> Colum
     One greedy match finds the last closing; the rest gets its openings
     blotted out, so the comment patterns stay linear in the text.
     """
-    head = F.regexp_extract(text, rf"(?d)\A([\s\S]*{closing})", 1)
-    tail = F.substring(text, F.length(head) + F.lit(1), F.length(text))
-    return F.concat(head, F.regexp_replace(tail, opening, instead))
+    def blotted(t):
+        head = F.length(F.regexp_extract(t, rf"(?d)\A([\s\S]*{closing})", 1))
+        return _once(head, lambda n: F.concat(
+            F.substring(t, F.lit(1), n), F.regexp_replace(F.substring(t, n + F.lit(1), F.length(t)), opening, instead)))
+
+    return _once(text, blotted)
 
 
 def loc(text) -> Column:
