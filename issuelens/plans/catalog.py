@@ -812,12 +812,14 @@ _TRACKER_SQL = O.with_(
   from links group by issue_id)""",
     f"""pf as (select pc.issue_id, arg_min(cf.path, md5(concat_ws(chr(1), {O.lit(O.SEED)}, cast(pc.issue_id as varchar),
   cf.path))) path from pc join commit_files cf on cf.sha = pc.sha group by pc.issue_id)""",
-    """hist as (select pf.issue_id, cf.sha rev from pf join commit_files cf on cf.path = pf.path)""",
-    f"""pr as (select issue_id, arg_min(rev, md5(concat_ws(chr(1), {O.lit(O.SEED)}, cast(issue_id as varchar), rev)))
-  revision_sha, cast(count(*) as bigint) n_history from hist group by issue_id)""",
+    """numbered as (select path, sha, count(*) over (partition by path) n,
+  row_number() over (partition by path order by sha) k from commit_files)""",
+    f"""drawn as (select distinct pf.issue_id, pf.path, n,
+  1 + cast('0x' || substr(md5(concat_ws(chr(1), {O.lit(O.SEED)}, cast(issue_id as varchar), pf.path)), 1, 15) as bigint) % n k
+  from pf join numbered on numbered.path = pf.path)""",
 ) + """
-select pc.issue_id, pc.sha commit_sha, pf.path file_path, pr.revision_sha, pr.n_history
-from pc join pf on pf.issue_id = pc.issue_id join pr on pr.issue_id = pc.issue_id"""
+select pc.issue_id, pc.sha commit_sha, d.path file_path, r.sha revision_sha, cast(d.n as bigint) n_history
+from pc join drawn d on d.issue_id = pc.issue_id join numbered r on r.path = d.path and r.k = d.k"""
 
 
 @register("e3_issue_change_tracker", _TRACKER_SQL)
