@@ -435,11 +435,24 @@ def a10(spark, d):
     return r.select("snapshot_sha", *[F.col(f"HalsteadMetrics.{f}").alias(f) for f in CM.HALSTEAD_FIELDS])
 
 
-@register("a11_broken_pct", _TREE_SQL + """
-select snapshot_sha, round(100.0 * (n_files - ccn) / n_files, 6) broken_pct_complexity,
-       round(0.0, 6) broken_pct_halstead from tm""")
+@register("a11_broken_pct", O.with_(
+    O.V_CODE_DOCS, O.V_SNAPSHOT_FILES,
+    "blobs as (select 'b' || cast(doc_id as varchar) blob_sha, case when doc_id % 9 = 4 then chr(10) || ' ' else code end text from code_docs)",
+    O.V_FILES_BEFORE) + f""",
+pf as (select snapshot_sha, {O.cc_sql('text')} cc, case when cast(substr(blob_sha, 2) as bigint) % 5 <> 3 then {O.toks_sql('text')} end toks
+       from files_before)
+select snapshot_sha, round(100.0 * count(*) filter (where cc is null) / count(*), 6) broken_pct_complexity,
+       round(100.0 * count(*) filter (where toks is null) / count(*), 6) broken_pct_halstead
+from pf group by snapshot_sha""")
 def a11(spark, d):
-    r = CM.broken_pct(_file_metrics(spark, d), ["snapshot_sha"])
+    """Every ninth file is blank (no complexity); every fifth has no Halstead figures, as after a failed parse."""
+    number = F.substring("blob_sha", 2, 20).cast("bigint")
+    blank = F.encode(F.lit("\n "), "UTF-8")
+    blobs = B.blobs(spark, d).select("blob_sha", F.when(number % 9 == 4, blank).otherwise(F.col("content")).alias("content"))
+    entries = SN.tree_entries(B.snapshot_files(spark, d), T.CODE_SUFFIXES_BEFORE)
+    files = entries.join(CM.blob_metrics(SN.text_blobs(blobs), O.B4_DECISIONS), "blob_sha", "inner")
+    files = files.withColumn("halstead", F.when(number % 5 != 3, F.col("halstead")))
+    r = CM.broken_pct(files, ["snapshot_sha"])
     return r.select("snapshot_sha", _r6(F.col("broken_pct_complexity")).alias("broken_pct_complexity"),
                     _r6(F.col("broken_pct_halstead")).alias("broken_pct_halstead"))
 
@@ -587,12 +600,17 @@ pd as (select *, {O.HALSTEAD_DERIVED} from pf)"""
 
 
 @register("f3_maintainability_index", _PER_DOC_SQL + f"""
-select doc_id, round({O.mi_sql(O.trunc_int_sql('hvol'), 'cc', 'loc', 'comments')}, 6) mi from pd""")
+select doc_id, round({O.mi_sql('v', 'cc', 'loc', 'comments')}, 6) mi,
+       round({O.mi_sql('v * v', '(cc * 10)', 'loc * 50', 'comments')}, 6) mi_large
+from (select *, {O.trunc_int_sql('hvol')} v from pd)""")
 def f3(spark, d):
+    """The index of each file, and that of a file with far larger figures (most small files are clamped to 100)."""
     docs = B.code_documents(spark, d)
-    h = M.file_halstead(F.col("code"))
-    return docs.select("doc_id", _r6(M.maintainability_index(h["halstead_volume"], M.lexical_complexity("code", O.B4_DECISIONS),
-                                                             T.loc("code"), T.comment_lines("code"))).alias("mi"))
+    x = docs.select("doc_id", M.file_halstead(F.col("code"))["halstead_volume"].alias("v"),
+                    M.lexical_complexity("code", O.B4_DECISIONS).alias("cc"), T.loc("code").alias("loc"),
+                    T.comment_lines("code").alias("k"))
+    large = M.maintainability_index(F.col("v") * F.col("v"), F.col("cc") * 10, F.col("loc") * 50, F.col("k"))
+    return x.select("doc_id", _r6(M.maintainability_index("v", "cc", "loc", "k")).alias("mi"), _r6(large).alias("mi_large"))
 
 
 @register("f4_halstead", _PER_DOC_SQL + """
@@ -716,6 +734,15 @@ def issue_dataset(spark: SparkSession, d: str) -> DataFrame:
                                B.token_lookup(spark, d))
 
 
+# A vector as one exact number: its values in thousandths, rounded down, each times its place.
+_VEC_SUM_SQL = "cast(sum(cast(floor(cast(m as double) * 1000) as bigint) * (dim + 1)) as bigint)"
+
+
+def _vec_sum(c) -> F.Column:
+    terms = F.transform(c, lambda x, i: F.floor(x.cast("double") * 1000) * (i + 1))
+    return F.aggregate(terms, F.lit(0).cast("bigint"), lambda a, x: a + x)
+
+
 def _p7_sql() -> str:
     from ..functions.metrics import DEFAULT_DECISIONS
     w = O.DUP_WINDOW
@@ -761,11 +788,15 @@ def _p7_sql() -> str:
   from (select side, snapshot_sha, off, unnest(regexp_extract_all(text, {O.WORDS}, 1)[1:512]) t,
                unnest(range(1, 1 + len(regexp_extract_all(text, {O.WORDS}, 1)[1:512]))) i from lead))
   where pos < 512)""",
-        f"""cvec as (select side, snapshot_sha, count(*) n from ctoks t
-  join vecs v on v.vec_id = {O.vec_key_sql('t.t')} group by side, snapshot_sha)""",
-        f"""dvec as (select issue_id, count(*) n from (
-  select issue_id, unnest(regexp_extract_all(issue_description, {O.WORDS}, 1)[1:512]) tok from rws) t
-  join vecs v on v.vec_id = {O.vec_key_sql('t.tok')} group by issue_id)""",
+        f"""cdim as (select side, snapshot_sha, dim, cast(avg(cast(x as double)) as float) m from (
+  select side, snapshot_sha, unnest(v.embedding) x, unnest(range(len(v.embedding))) dim from ctoks t
+  join vecs v on v.vec_id = {O.vec_key_sql('t.t')}) group by side, snapshot_sha, dim)""",
+        f"""cvec as (select side, snapshot_sha, count(*) n, {_VEC_SUM_SQL} s from cdim group by side, snapshot_sha)""",
+        f"""ddim as (select issue_id, dim, cast(avg(cast(x as double)) as float) m from (
+  select issue_id, unnest(v.embedding) x, unnest(range(len(v.embedding))) dim from (
+    select issue_id, unnest(regexp_extract_all(issue_description, {O.WORDS}, 1)[1:512]) tok from rws) t
+  join vecs v on v.vec_id = {O.vec_key_sql('t.tok')}) group by issue_id, dim)""",
+        f"""dvec as (select issue_id, count(*) n, {_VEC_SUM_SQL} s from ddim group by issue_id)""",
     ) + """
 select r.issue_id, r.issue_description, r.first_commit, r.last_commit, r.noc NOC, r.nocf NOCF, r.noi NOI, r.nod NOD,
   coalesce(b.loc, 0) LOC_before, coalesce(b.comments, 0) Comments_before, coalesce(bd.dup, 0) CodeDuplication_before,
@@ -776,9 +807,8 @@ select r.issue_id, r.issue_description, r.first_commit, r.last_commit, r.noc NOC
   b.hdiff halstead_difficulty_before, b.heff halstead_effort_before,
   a.hl halstead_length_after, a.hv halstead_vocabulary_after, a.hvol halstead_volume_after,
   a.hdiff halstead_difficulty_after, a.heff halstead_effort_after,
-  case when dv.n > 0 then (select max(len(embedding)) from embeddings) else 0 end desc_dims,
-  case when bv.n > 0 then (select max(len(embedding)) from embeddings) else 0 end before_dims,
-  case when av.n > 0 then (select max(len(embedding)) from embeddings) else 0 end after_dims
+  coalesce(dv.n, 0) desc_dims, coalesce(bv.n, 0) before_dims, coalesce(av.n, 0) after_dims,
+  coalesce(dv.s, 0) desc_sum, coalesce(bv.s, 0) before_sum, coalesce(av.s, 0) after_sum
 from rws r
 left join tm b on b.side = 'before' and b.snapshot_sha = r.before_snapshot
 left join dd bd on bd.side = 'before' and bd.snapshot_sha = r.before_snapshot
@@ -798,9 +828,9 @@ def p7(spark, d):
         *[_r6(F.col(f"{c}_{s}")).alias(f"{c}_{s}") for s in ("before", "after")
           for c in ("CyclomaticComplexity", "MaintainabilityIndex")],
         *[F.col(f"HalsteadMetrics_{s}.{f}").alias(f"{f}_{s}") for s in ("before", "after") for f in CM.HALSTEAD_FIELDS],
-        F.size("issue_description_embedding").cast("bigint").alias("desc_dims"),
-        F.size("codebase_embedding_before_first_commit").cast("bigint").alias("before_dims"),
-        F.size("codebase_embedding_after_last_commit").cast("bigint").alias("after_dims"),
+        *[f(F.col(c)).cast("bigint").alias(f"{k}_{n}") for n, f in (("dims", F.size), ("sum", _vec_sum))
+          for k, c in (("desc", "issue_description_embedding"), ("before", "codebase_embedding_before_first_commit"),
+                       ("after", "codebase_embedding_after_last_commit"))],
     )
 
 
