@@ -10,7 +10,8 @@ from issuelens.llm.common import staged
 
 def _star(pairs: DataFrame, grown: bool) -> DataFrame:
     """``pairs`` are (u, v); each u's neighbours are hung on the least of u and them."""
-    least = pairs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    # read back from files, so that the join below is of two plain shuffles, which Spark splits at a hot u
+    least = staged(pairs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
     if grown:  # large star: neighbours above u
         return pairs.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
     # small star: u itself and its neighbours, all below u

@@ -203,7 +203,8 @@ def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
     nodes = t.where("n_grams > 0").join(copies.select(F.col("node").alias("row")), "row").select(F.col("row").alias("node"), "doc_id", "key", "n_grams", "bands")
 
     banded = nodes.select("node", F.explode("bands").alias("band"))
-    hubs = banded.groupBy("band").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    # tables of their own: a join with an aggregation on the same key is none that Spark splits at a hot one
+    hubs = staged(banded.groupBy("band").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
     ties = banded.join(hubs, "band").where("node <> hub").select(F.col("node").alias("u"), F.col("hub").alias("v")).distinct()
     groups = staged(components(ties).select("node", F.col("component").alias("grp")))
 
@@ -223,7 +224,7 @@ def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
     of_node = copies.join(classes, "node", "left").join(links, "node", "left")
     of_node = of_node.select("key", "copy_of", F.coalesce("component", "node").alias("class"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     every = staged(t.select("row", "doc_id", "key").join(of_node, "key"))
-    least = every.groupBy("class").agg(F.min("doc_id").alias("class_id"))
     # the first row of the least doc_id; rows without one come last
-    firsts = every.join(least, "class").where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("class", "class_id").agg(F.min("row").alias("first_row"))
+    firsts = every.groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("f"))
+    firsts = staged(firsts.select("class", F.col("f.doc_id").alias("class_id"), F.col("f.row").alias("first_row")))
     return every.join(firsts, "class").select("row", "doc_id", "key", "class_id", "copy_of", "n_links", (F.col("row") == F.col("first_row")).alias("first"))
