@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from issuelens.llm import stages
+from issuelens.llm.common import scratch
 from issuelens.session import cut_lineage
 
 STAGES = [
@@ -24,10 +25,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each stage's rows are written before the next one reads them."""
+    """All stages over ``documents``; each stage's rows are written before the next one reads them.
+
+    A stage's own working tables are deleted when its rows are written.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for i, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = cut_lineage(docs)
-    return docs
+    for _, stage in STAGES[:-1]:
+        with scratch(spark):
+            docs = cut_lineage(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -5,6 +5,8 @@ from __future__ import annotations
 import struct
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -109,6 +111,24 @@ def rows_by_key(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Tabl
         yield pa.Table.from_batches(held)
 
 
+#: Folders that the innermost :func:`scratch` has to delete; None outside of one.
+_FOLDERS: ContextVar[list[str] | None] = ContextVar("folders", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes the tables that :func:`staged` writes inside the block, once it ends; for use when its results are written."""
+    folders: list[str] = []
+    held = _FOLDERS.set(folders)
+    try:
+        yield
+    finally:
+        _FOLDERS.reset(held)
+        for folder in folders:
+            p = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
+
+
 def staged(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared checkpoint folder (zstd) and read back.
 
@@ -118,6 +138,9 @@ def staged(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     path = ensure_checkpoint_dir(spark).rstrip("/") + f"/staged/{uuid.uuid4().hex}"
+    folders = _FOLDERS.get()
+    if folders is not None:
+        folders.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.parquet(path)
 

@@ -110,7 +110,7 @@ class Benchmark:
 
 def blocks_of(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple]]:
     """Item blocks of about ``block_bytes`` of text, each brought to the driver by itself."""
-    b = pick(benchmark, "item_id", "text").where("text is not null")
+    b = pick(benchmark, "item_id", "text").where("text is not null").distinct()  # a repeated item says nothing new
     total = b.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
     n = -(-total // block_bytes) or 1
     if n == 1:

@@ -1,10 +1,12 @@
 """The pipeline's stages against brute force, and its registration."""
 
+import os
 import random
 from collections import Counter
 
 import corpus_pipeline
 from issuelens.llm import stages
+from issuelens.session import ensure_checkpoint_dir
 
 from .conftest import ODD, SCHEMA, rows_of
 from .test_rows import brute_hits, brute_quality
@@ -65,7 +67,10 @@ def test_stages_equal_brute_force(spark, tmp_path):
     assert plain(docs) == Counter(rows) and rows
     check_packing(spark, docs, rows, 4096)
 
+    staged_folder = ensure_checkpoint_dir(spark).rstrip("/") + "/staged"
+    before = len(os.listdir(staged_folder))
     whole = corpus_pipeline.run(spark, sf)
+    assert len(os.listdir(staged_folder)) == before  # the stages' working tables are gone
     last = stages.packed(spark, docs, sf)
     key = lambda df: Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in df.collect())
     assert key(whole) == key(last)
