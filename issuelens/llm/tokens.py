@@ -18,6 +18,8 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks alread
 CACHE = 500_000
 #: Longer units are encoded each time.
 LONGEST_KEY = 48
+#: Stands between words that are normalised together: a private character, which normal forms leave alone.
+BETWEEN = "\ue000"
 _OPEN: dict[tuple, object] = {}
 
 
@@ -80,13 +82,17 @@ class WordEncoder:
 
     def _learn(self, missing: list[bytes]) -> dict[bytes, bytes]:
         texts = [w.decode() for w in missing]
-        normal = self.norm.normalize_str(" ".join(texts)).split(" ") if self.norm else texts
-        if len(normal) != len(texts):  # other white space inside a word
-            return {w: self._pack(self.whole.encode(t, add_special_tokens=False).ids) for w, t in zip(missing, texts, strict=True)}
+        # the separator is no white space, so a word that vanishes or falls apart shifts no other
+        normal = self.norm.normalize_str(BETWEEN.join(texts)).split(BETWEEN) if self.norm else texts
+        if len(normal) != len(texts):  # a word holds the separator
+            normal = [self.norm.normalize_str(t) for t in texts]
         out = {}
-        for w, n in zip(missing, normal, strict=True):
-            # a word that ends in one mark is two pieces, both met often
-            out[w] = self._letters(n[:-1]) + self._normal(n[-1]) if n[-1:] in (".", ",") and n[:-1].isalpha() else self._normal(n)
+        for w, t, n in zip(missing, texts, normal, strict=True):
+            if n.split() != [n]:  # other white space than the six bytes
+                out[w] = self._pack(self.whole.encode(t, add_special_tokens=False).ids)
+            else:
+                # a word that ends in one mark is two pieces, both met often
+                out[w] = self._letters(n[:-1]) + self._normal(n[-1]) if n[-1:] in (".", ",") and n[:-1].isalpha() else self._normal(n)
         return out
 
     def ids(self, text: str | None) -> bytes:

@@ -31,6 +31,21 @@ def test_ids_are_the_library_s(text):
     assert np.frombuffer(coder.ids(text), coder.dtype).tolist() == coder.whole.encode(text, add_special_tokens=False).ids
 
 
+def test_words_of_other_white_space_shift_no_ids():
+    import numpy as np
+
+    nbsp, thin = "\u00a0", "\u2009"
+    words = [f"{a}{b}" for a in ("alpha", "ten", "Five", "b2", "x.") for b in range(8)]
+    for seed in range(20):  # a lone one (vanishes) and an inner one (falls apart) leave the number of pieces as it was
+        rnd = random.Random(seed)
+        some = rnd.sample(words, 12)
+        first = " ".join(rnd.sample([*some, nbsp, f"ten{nbsp}five"], 14))
+        second = " ".join([*some, thin, f"a{thin}b", "\u3000", "c\u0085d", *reversed(some)])
+        coder = WordEncoder(WORDS)
+        for text in (first, second, " ".join(words), f"new{seed} a\ue000{nbsp} \ue000 {nbsp}"):
+            assert np.frombuffer(coder.ids(text), coder.dtype).tolist() == coder.whole.encode(text, add_special_tokens=False).ids
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(ANY_TEXT, max_size=4))
 def test_counts_are_the_library_s(texts):
