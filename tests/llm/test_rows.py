@@ -217,6 +217,41 @@ def test_blocks_references_and_broken_markup(model):
     assert html_text.main_text(page(body), model) == "A&B <c>\n\nOne two three.\n\nFour five é é 1 < 2 &am"
 
 
+@pytest.mark.parametrize("tag", html_text.DROPPED)
+def test_elements_without_end_tag_cost_only_their_own_text(model, tag):
+    article = f"<article>{ARTICLE}</article>"
+    for head in (f"<header><{tag} class=x>Menu</header>", f"<{tag}>Menu", f"<div><{tag}>Menu<{tag}>More</div>", f"<p>Menu</p><{tag}><{tag}>"):
+        assert html_text.main_text(page(head + article), model).endswith(TEXT)
+        assert html_text.main_text(page(head + article + f"<footer><{tag}>Go</{tag}></footer>"), model).endswith(TEXT)
+        assert html_text.main_text(page(article + head), model).startswith(TEXT)
+    inside = ARTICLE.replace("paragraph of", f"<{tag}>not a <b>text<p>x</p></b></{tag}>paragraph <{tag}/>of")
+    assert html_text.main_text(page(f"<article>{inside}</article>"), model) == TEXT
+    last = ARTICLE.replace("Short.", f"Short.<{tag}>not a text")
+    assert html_text.main_text(page(f"<article>{last}</article>"), model) == TEXT
+
+
+def test_inside_of_math_map_and_object_is_text(model):
+    for tag in ("math", "map", "object"):
+        assert html_text.main_text(page("<article>" + ARTICLE.replace("Short.", f"<{tag}>Short.</{tag}>") + "</article>"), model) == TEXT
+        assert html_text.main_text(page(f"<{tag}><article>{ARTICLE}</article>"), model) == TEXT
+
+
+def test_quotes_delimit_only_values(model):
+    for given in ("title=don't", "title = don't", "don't", 'title=5"', "href=/a?b='c'd", "title='a > b'", 'title = "a > b"', "title=", "= '>'", 'a=b="c'):
+        body = ARTICLE.replace("paragraph", f"<a {given}>paragraph</a>").replace("Short.", "It's short.")
+        want = TEXT.replace("Short.", "It's short.")
+        assert html_text.main_text(page(f"<article>{body}</article>"), model) == want, given
+
+
+def test_broken_pages_take_linear_time(model):
+    import time
+
+    for part in ("<video>", "<video><p>", "<button>", "<svg><div>x</svg>", "<template></div><p>", "<a b='", "<a b= ", "<a =", "<select><li>"):
+        start = time.process_time()
+        html_text.parse(part * 20000)
+        assert time.process_time() - start < 10, part
+
+
 def test_marginals_are_those_of_brute_force(model):
     import itertools
     import math
