@@ -212,7 +212,8 @@ def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
     need = members.groupBy("grp").agg(F.sum("n_grams").alias("grams"), F.count(F.lit(1)).alias("n"))
     need = need.select("grp", F.greatest(F.ceil(F.col("grams") * 8 / block_bytes), F.ceil(F.col("n") / block_nodes)).cast("long").alias("blocks"))
     members = members.join(need, "grp").select("node", "grp", "blocks", "key", F.col("doc_id").alias("of"))
-    held = _grams(d.join(members, (d.key == members.key) & d.doc_id.eqNullSafe(members.of)).select("node", "grp", "blocks", "text"), size)
+    texts = d.join(members, (d.key == members.key) & d.doc_id.eqNullSafe(members.of)).select("node", "grp", "blocks", "text")
+    held = _grams(texts.dropDuplicates(["node"]), size)  # rows that repeat have one doc_id (or none) and one text
     block = F.pmod(F.xxhash64("node"), F.col("blocks"))
     units = held.withColumn("block", block).withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     low, high = F.least("block", "with"), F.greatest("block", "with")

@@ -264,6 +264,21 @@ def test_classes_equal_brute_force(spark, odd_docs, no_docs, block_nodes=3):
     assert jaccard.jaccard_classes(no_docs).count() == 0
 
 
+def test_repeated_rows_reach_a_unit_once(spark, monkeypatch):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(7, text)] * 20 + [(None, text + " x")] * 15 + [(8, text + " y"), (9, "something else")]
+    verified, seen = jaccard._verified, []
+
+    def watched(units, *more):
+        seen.append(units.groupBy("unit", "node").count().agg(F.max("count"), F.countDistinct("node")).first())
+        return verified(units, *more)
+
+    monkeypatch.setattr(jaccard, "_verified", watched)
+    got = jaccard.jaccard_classes(spark.createDataFrame(rows_of(rows), SCHEMA), block_nodes=2).collect()
+    assert [tuple(r) for r in seen] == [(1, 3)]
+    assert Counter((r.doc_id, r.class_id, r.n_links) for r in got) == Counter({(7, 7, 2): 20, (None, 7, 2): 15, (8, 7, 2): 1, (9, 9, 0): 1})
+
+
 def test_banding_reaches_its_recall():
     bands, rows = jaccard.bands_and_rows(0.8, 0.9999)
     assert 1 - (1 - 0.8**rows) ** bands >= 0.9999 and bands * rows <= 160
