@@ -21,14 +21,14 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyspark.sql.functions as F
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql.types import StructType
 
 from issuelens.llm.common import ODD2, covered, pack_ints, pick, rolling, rows_by_key, small_batches, staged, unpack_ints, word_hashes, words_of
 
 WINDOW, SEED = 13, 6
-#: Rows of a lot, and text bytes that one hash bucket answers for.
-LOT_ROWS, BUCKET_BYTES = 256, 16 << 20
+#: Rows and text bytes of a lot, and text bytes that one hash bucket answers for.
+LOT_ROWS, LOT_BYTES, BUCKET_BYTES = 256, 32 << 20, 16 << 20
 #: A null doc_id counts as greater than all others.
 LAST = np.iinfo(np.int64).max
 
@@ -156,7 +156,21 @@ def _opened(group: pa.Table) -> tuple[list[bytes], list[bytes], pa.Table]:
     return told.column("keys").to_pylist(), told.column("docs").to_pylist(), group.slice(n)
 
 
-def dedup_passages(docs: DataFrame, carry: tuple[str, ...] = (), window: int = WINDOW, seed: int = SEED, lot_rows: int = LOT_ROWS, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+def lot_of(row: Column, n_bytes: Column, lot_rows: int = LOT_ROWS, lot_bytes: int = LOT_BYTES) -> Column:
+    """A row's lot: at most ``lot_rows`` rows and ``lot_bytes`` bytes, or one row.
+
+    Texts of up to lot_bytes / lot_rows bytes share a stretch of lot_rows
+    consecutive rows; those of up to twice that share one of half as many, and so on.
+    """
+    kinds = lot_rows.bit_length() + 1
+    out = row * kinds + (kinds - 1)  # longer than all: a lot by itself
+    for k in reversed(range(kinds - 1)):
+        rows = lot_rows >> k
+        out = F.when(n_bytes <= lot_bytes // rows, F.floor(row / rows).cast("long") * kinds + k).otherwise(out)
+    return out
+
+
+def dedup_passages(docs: DataFrame, carry: tuple[str, ...] = (), window: int = WINDOW, seed: int = SEED, lot_rows: int = LOT_ROWS, bucket_bytes: int = BUCKET_BYTES, lot_bytes: int = LOT_BYTES) -> DataFrame:
     """Per document: doc_id, the columns ``carry``, n_words, n_removed, kept_text.
 
     Words are ``[^\\x20\\x09-\\x0D]+``, unchanged.  A word goes if a window of
@@ -172,8 +186,9 @@ def dedup_passages(docs: DataFrame, carry: tuple[str, ...] = (), window: int = W
     whole = "text" in carry
     carry = tuple(c for c in carry if c not in ("doc_id", "text"))
     d = pick(docs, "doc_id", "text", *carry).select(F.col("doc_id").cast("long").alias("_doc"), F.col("text").alias("_text"), *carry)
-    # a lot is a stretch of consecutive rows of one input partition; written, so that it stays what it is
-    d = staged(d.withColumn("lot", F.floor(F.monotonically_increasing_id() / lot_rows).cast("long")))
+    # a lot is of one stretch of consecutive rows of an input partition; written, so that it stays what it is
+    d = d.withColumn("lot", F.monotonically_increasing_id())
+    d = staged(d.withColumn("lot", lot_of(F.col("lot"), F.coalesce(F.octet_length("_text"), F.lit(0)), lot_rows, lot_bytes)))
     total = d.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // bucket_bytes))
 

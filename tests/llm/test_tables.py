@@ -205,6 +205,17 @@ def test_a_window_s_anchor_depends_on_its_words_alone(words):
 
 # -- components
 
+def test_lots_hold_few_bytes_or_one_row(spark):
+    rnd = random.Random(5)
+    words = [f"w{i}" for i in range(300)]
+    rows = [(i, " ".join(rnd.choice(words) for _ in range(rnd.choice((5, 20, 60, 150, 900))))) for i in range(60)]
+    rows += [(60 + i, rows[i][1][40:]) for i in range(30)]
+    df = spark.createDataFrame(rows_of(rows), SCHEMA).coalesce(1).withColumn("b", F.octet_length("text"))
+    lots = df.withColumn("lot", passages.lot_of(F.monotonically_increasing_id(), F.col("b"), 16, 4000)).groupBy("lot").agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("b")).collect()
+    assert all(r.n == 1 or (r.n <= 16 and r.b <= 4000) for r in lots) and 6 < len(lots) < 90 and any(r.n > 5 for r in lots)
+    assert run_passages(df.coalesce(1), lot_rows=16, lot_bytes=4000) == run_passages(df.coalesce(1))
+
+
 def test_components_of_chains_stars_and_nothing(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 300)] + [(7, 7), (500, 501), (501, 500)]
     got = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}
