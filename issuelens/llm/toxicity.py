@@ -196,8 +196,9 @@ def sample(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS) -> Da
     """
     y = pick(labels, "doc_id", "toxic").where("doc_id is not null and toxic is not null")
     y = y.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.max(F.col("toxic").cast("int")) > 0).cast("int").alias("toxic"))
-    y = y.where(~held_out(F.col("doc_id"))).withColumn("rank", F.xxhash64("doc_id")).orderBy("rank", "doc_id").limit(most_rows)
     d = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    y = y.where(~held_out(F.col("doc_id"))).join(d.select("doc_id").distinct(), "doc_id", "left_semi")
+    y = y.withColumn("rank", F.xxhash64("doc_id")).orderBy("rank", "doc_id").limit(most_rows)
     return d.join(F.broadcast(y.drop("rank")), "doc_id").groupBy("doc_id", "toxic").agg(F.max("text").alias("text"))
 
 

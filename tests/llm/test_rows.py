@@ -180,6 +180,14 @@ def test_toxicity_held_out_accuracy_folding_and_exceptions(spark, odd_docs, no_d
 
 # -- HTML
 
+def test_labels_without_a_document_take_no_place_in_the_sample(spark):
+    docs = spark.createDataFrame(rows_of([(i, f"text {i}") for i in range(0, 3000, 100)] * 2), SCHEMA)
+    labels = spark.range(3000).selectExpr("id AS doc_id", "cast(id % 2 AS int) AS toxic")
+    learned = [f"text {i}" for i in range(0, 3000, 100) if zlib.crc32(str(i).encode()) % 3 != 1]
+    assert sorted(r.text for r in toxicity.sample(docs, labels, len(learned)).collect()) == sorted(learned)
+    assert toxicity.sample(docs, labels, 5).count() == 5
+
+
 @pytest.fixture(scope="module")
 def model():
     return html_text.train([])
