@@ -5,7 +5,7 @@ from __future__ import annotations
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
-from issuelens.llm import decontaminate, html_text, jaccard, packing, passages, quality, sharding, token_counts, token_store, toxicity
+from issuelens.llm import decontaminate, html_text, jaccard, packing, passages, periodic, quality, sharding, token_counts, token_store, toxicity
 from issuelens.llm.common import table
 
 
@@ -64,6 +64,17 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "copy_of", "n_links")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every text, a tenth of the texts with a repeating tail, and what is left without the repetitions."""
+    docs = table(spark, sf_dir, "documents")
+    found = periodic.periodic_runs(docs.withColumn("text", periodic.planted(F.col("doc_id"), F.col("text"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = [F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")]
+    exponent = F.floor(F.col("best.length") * 1000 / F.col("best.period")).cast("long")
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), *best, exponent.alias("exponent_milli"),
+                        F.sha2(F.concat_ws("", lines), 256).alias("runs_sha256"), F.sha2("collapsed_text", 256).alias("collapsed_sha256"))
+
+
 _OP1_SQL = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -167,4 +178,5 @@ REGISTRY = {
     "op8_dom_graph_text": (op8_dom_graph_text, None),
     "op9_seed_extend_dedup": (op9_seed_extend_dedup, _OP9_SQL),
     "op10_ngram_jaccard_join": (op10_ngram_jaccard_join, _OP10_SQL),
+    "op11_periodic_runs": (op11_periodic_runs, None),
 }
