@@ -129,8 +129,8 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
 
 
-def staged(df: DataFrame) -> DataFrame:
-    """``df`` written once to the shared checkpoint folder (zstd) and read back.
+def staged(df: DataFrame, *by: str) -> DataFrame:
+    """``df`` written once to the shared checkpoint folder (zstd), in folders by the columns ``by``, and read back.
 
     Later steps, and tasks run again after a lost executor, read the files.
     Shuffle files of the write are let go when it ends.
@@ -141,8 +141,8 @@ def staged(df: DataFrame) -> DataFrame:
     folders = _FOLDERS.get()
     if folders is not None:
         folders.append(path)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.parquet(path)
+    df.write.option("compression", "zstd").partitionBy(*by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def pack_ints(values: np.ndarray) -> bytes:

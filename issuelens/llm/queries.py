@@ -5,7 +5,7 @@ from __future__ import annotations
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
-from issuelens.llm import decontaminate, html_text, jaccard, packing, passages, periodic, quality, sharding, token_counts, token_store, toxicity
+from issuelens.llm import decontaminate, html_text, jaccard, lines, packing, passages, periodic, quality, sharding, token_counts, token_store, toxicity
 from issuelens.llm.common import table
 
 
@@ -75,6 +75,12 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.concat_ws("", lines), 256).alias("runs_sha256"), F.sha2("collapsed_text", 256).alias("collapsed_sha256"))
 
 
+def op12_levelled_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that three or more documents hold stay in the greatest of them only."""
+    d = lines.dedup_lines(table(spark, sf_dir, "documents"))
+    return d.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 _OP1_SQL = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -167,6 +173,21 @@ SELECT d.doc_id, cls.class_id, t.id AS copy_of, coalesce(deg.n_links, 0)::BIGINT
 FROM documents d JOIN t ON t.t = coalesce(d.text, '') JOIN cls ON cls.id = t.id LEFT JOIN deg ON deg.id = t.id
 """
 
+_OP12_SQL = r"""
+WITH d AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS k
+  FROM documents
+), l AS (
+  SELECT doc_id, k, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM d
+), hot AS (
+  SELECT key, max(doc_id) AS last FROM l WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+)
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE last > doc_id)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (WHERE last IS NULL OR last = doc_id), '')) AS kept_sha256
+FROM l LEFT JOIN hot USING (key) GROUP BY doc_id
+"""
+
 REGISTRY = {
     "op1_decontaminate": (op1_decontaminate, _OP1_SQL),
     "op2_hash_tree_shards": (op2_hash_tree_shards, None),
@@ -179,4 +200,5 @@ REGISTRY = {
     "op9_seed_extend_dedup": (op9_seed_extend_dedup, _OP9_SQL),
     "op10_ngram_jaccard_join": (op10_ngram_jaccard_join, _OP10_SQL),
     "op11_periodic_runs": (op11_periodic_runs, None),
+    "op12_levelled_lines": (op12_levelled_lines, _OP12_SQL),
 }
