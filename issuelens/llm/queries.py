@@ -5,7 +5,7 @@ from __future__ import annotations
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
-from issuelens.llm import decontaminate, html_text, jaccard, lines, packing, passages, periodic, quality, sharding, token_counts, token_store, toxicity
+from issuelens.llm import decontaminate, html_text, jaccard, lines, packing, passages, periodic, quality, search, sharding, token_counts, token_store, toxicity
 from issuelens.llm.common import table
 
 
@@ -81,6 +81,11 @@ def op12_levelled_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op13_signature_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of each benchmark item."""
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 _OP1_SQL = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -188,6 +193,26 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE last > doc_id
 FROM l LEFT JOIN hot USING (key) GROUP BY doc_id
 """
 
+_OP13_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+), q AS (
+  SELECT item_id, t, count(*) AS c FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark) GROUP BY 1, 2
+), g AS (SELECT count(*) AS docs, sum(len(w)) AS total FROM d WHERE len(w) > 0),
+tf AS (
+  SELECT doc_id, n, t, count(*) AS tf FROM (SELECT doc_id, len(w) AS n, unnest(w) AS t FROM d) SEMI JOIN q USING (t) GROUP BY 1, 2, 3
+), weight AS (
+  SELECT t, floor(1000 * ln((2 * docs + 2) / (2 * df + 1)))::BIGINT AS w FROM (SELECT t, count(*) AS df FROM tf GROUP BY t), g
+), s AS (
+  SELECT item_id, doc_id, sum(c * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n::HUGEINT * docs) // total))))::BIGINT AS score
+  FROM tf JOIN weight USING (t) JOIN q USING (t), g GROUP BY 1, 2
+), r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM r WHERE rank <= 10
+"""
+
 REGISTRY = {
     "op1_decontaminate": (op1_decontaminate, _OP1_SQL),
     "op2_hash_tree_shards": (op2_hash_tree_shards, None),
@@ -201,4 +226,5 @@ REGISTRY = {
     "op10_ngram_jaccard_join": (op10_ngram_jaccard_join, _OP10_SQL),
     "op11_periodic_runs": (op11_periodic_runs, None),
     "op12_levelled_lines": (op12_levelled_lines, _OP12_SQL),
+    "op13_signature_search": (op13_signature_search, _OP13_SQL),
 }
