@@ -1,90 +1,35 @@
-"""Row positions inside groups that survive hot groups (used by W1 and W4).
+"""Row positions and running sums inside groups that survive hot groups (used by S1, W1, W4, A14).
 
 ``row_number()`` over a window partitioned by the group puts a group that
-holds a third of all rows into one task.  Here the sort key (group, order)
-is cut into ``num_chunks`` ranges at boundaries drawn from a seeded sample --
-a bounded list, as Spark's own range partitioner draws -- so a hot group
-spans many chunks.  Each (chunk, group) is ranked locally; the chunk sizes
-(at most one row per chunk and group) give each chunk its offset.  A row's
-chunk depends only on its key, so all branches of the plan and every
-recomputation after a lost executor agree.
+holds a third of all rows into one task.  Here Spark's own range partitioning
+on (group, order) deals the rows, so a hot group spans many partitions.  The
+rows are written once with the number of their partition; what follows, and
+every recomputation after a lost executor, reads the same table.  Each
+(partition, group) is summed locally; the partitions' sums (at most one row
+per partition and group) give each partition its offset.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-SAMPLE_PER_CHUNK = 20
-# Up to so many chunks their search is written out as nested CASE (code is generated for it).
-WRITTEN_OUT = 256
-
-
-def _chunk_of(key: Column, bounds, lo: int, hi: int) -> Column:
-    """Index of the chunk holding ``key`` among sorted struct literals ``bounds``.
-
-    A binary search written as nested CASE over single struct comparisons
-    (Spark orders structs field by field, NULLs first -- the window's order),
-    so the expression stays small enough for whole-stage code generation.
-    """
-    if lo == hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(key < bounds[mid], _chunk_of(key, bounds, lo, mid)).otherwise(
-        _chunk_of(key, bounds, mid + 1, hi))
-
-
-def _chunk_searched(key: Column, bounds) -> Column:
-    """The same binary search over one array literal, for thousands of bounds."""
-    among = F.array(*bounds)
-
-    def halve(acc, _):
-        mid = F.floor((acc["lo"] + acc["hi"]) / 2).cast("int")
-        go, left = acc["lo"] < acc["hi"], key < F.get(among, mid)
-        return F.struct(F.when(go & ~left, mid + 1).otherwise(acc["lo"]).alias("lo"),
-                        F.when(go & left, mid).otherwise(acc["hi"]).alias("hi"))
-
-    start = F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi"))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(len(bounds).bit_length())), start, halve)["lo"]
-
-
-def _sort_key(row):
-    return tuple((v is not None, v) for v in row)
-
-
-def _bounds(df: DataFrame, key, n: int, seed: int) -> list[tuple]:
-    """At most n - 1 distinct keys that cut ``df`` into like parts, from a seeded sample of about 20 n keys."""
-    total = df.count() if n > 1 else 0
-    if not total:
-        return []
-    frac = min(1.0, SAMPLE_PER_CHUNK * n / total)
-    sample = sorted((tuple(r) for r in df.select(*key).sample(fraction=frac, seed=seed).collect()), key=_sort_key)
-    out = []
-    for i in range(1, n) if sample else ():
-        b = sample[(i * len(sample)) // n]
-        if not out or out[-1] != b:
-            out.append(b)
-    return out
+from ..session import cut_lineage
 
 
 def prefix_within(df: DataFrame, group_cols, order_cols, out: str, value: str | None = None,
-                  num_chunks: int | None = None, seed: int = 17) -> DataFrame:
-    """Per row the sum of ``value`` (rows, if None) over the rows before it in its group, as ``out`` (bigint).
+                  num_chunks: int | None = None, kind: str = "bigint") -> DataFrame:
+    """Per row the sum of ``value`` (rows, if None) over the rows before it in its group, as ``out`` (``kind``).
 
     ``order_cols`` must make the order total inside a group.  Rows whose group
-    is NULL are a group like others.  There are as many chunks as shuffle
-    partitions unless ``num_chunks`` says otherwise.
+    is NULL are a group like others; without ``group_cols`` the table is one
+    group.  There are as many chunks as shuffle partitions unless
+    ``num_chunks`` says otherwise.
     """
     group_cols, order_cols = list(group_cols), list(order_cols)
-    key = group_cols + order_cols
-    bounds = _bounds(df, key, num_chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), seed)
-    types = {f.name: f.dataType for f in df.schema.fields}
-    literals = [F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(key, b)]) for b in bounds]
-    chunk = F.lit(0)
-    if literals:
-        k = F.col("_key")
-        chunk = _chunk_of(k, literals, 0, len(literals)) if len(literals) <= WRITTEN_OUT else _chunk_searched(k, literals)
-    chunked = (df.withColumn("_key", F.struct(*[F.col(c) for c in key])).withColumn("_chunk", chunk).drop("_key"))
+    n = num_chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunked = cut_lineage(df.repartitionByRange(n, *group_cols, *order_cols)
+                          .withColumn("_chunk", F.spark_partition_id()))
     amount = F.lit(1) if value is None else F.coalesce(F.col(value), F.lit(0))
     before = Window.partitionBy("_chunk", *group_cols).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
     local = chunked.withColumn("_lr", F.coalesce(F.sum(amount).over(before), F.lit(0)))
@@ -96,12 +41,11 @@ def prefix_within(df: DataFrame, group_cols, order_cols, out: str, value: str |
     same = F.col("_chunk") == F.col("_oc")
     for i, c in enumerate(group_cols):
         same = same & F.col(c).eqNullSafe(F.col(f"_o{i}"))
-    return (local.join(offsets, same, "inner").withColumn(out, (F.col("_lr") + F.col("_off")).cast("bigint"))
+    return (local.join(offsets, same, "inner").withColumn(out, (F.col("_lr") + F.col("_off")).cast(kind))
             .select(*df.columns, out))
 
 
-def rank_within(df: DataFrame, group_cols, order_cols, out: str = "rank",
-                num_chunks: int | None = None, seed: int = 17) -> DataFrame:
+def rank_within(df: DataFrame, group_cols, order_cols, out: str = "rank", num_chunks: int | None = None) -> DataFrame:
     """``row_number() over (partition by group_cols order by order_cols)`` as ``out`` (bigint)."""
-    ranked = prefix_within(df, group_cols, order_cols, out, None, num_chunks, seed)
+    ranked = prefix_within(df, group_cols, order_cols, out, None, num_chunks)
     return ranked.withColumn(out, F.col(out) + F.lit(1).cast("bigint"))
