@@ -126,8 +126,8 @@ def dedup_lines(docs: DataFrame, carry: tuple[str, ...] = (), min_chars: int = 2
     runs = LineRuns(min_docs, fanout)
     for k in range(len(set(cuts)) + 1):
         runs.add(pairs.where(F.col("batch") == k).select("key", "doc"))
-    # tables of their own, so that the joins are of plain shuffles, which Spark splits at a hot line or document
-    repeated = staged(runs.repeated())
+    # tables of their own and merge joins at any size, so that the joins are of plain shuffles, which Spark splits at a hot line or document
+    repeated = staged(runs.repeated()).hint("merge")
     lost = pairs.join(repeated, "key").where("doc < last")
     lost = staged(lost.groupBy("doc").agg(F.collect_list("key").alias("_lost")))
 
@@ -150,4 +150,4 @@ def dedup_lines(docs: DataFrame, carry: tuple[str, ...] = (), min_chars: int = 2
                 kept.append(text or "")
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in handed), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64()), pa.array(kept, pa.string())], names=types.names)
 
-    return d.join(lost, d["_doc"] == lost["doc"], "left").select(*handed, "_text", "_lost").mapInArrow(cut, types)
+    return d.join(lost.hint("merge"), d["_doc"] == lost["doc"], "left").select(*handed, "_text", "_lost").mapInArrow(cut, types)
