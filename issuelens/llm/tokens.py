@@ -6,16 +6,18 @@ worker (the package that holds it is installed on all machines).
 
 from __future__ import annotations
 
+import codecs
 import os
 import re
+import string
 from array import array
 
 import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks already use all cores
 
-#: Entries that a worker's cache holds before it starts anew (memory, not results, depend on it).
-CACHE = 500_000
+#: Entries that a worker's cache holds before it starts anew (memory, not results, depend on it), and a half of a cache of two.
+CACHE, HALF = 500_000, 350_000
 #: Longer units are encoded each time.
 LONGEST_KEY = 48
 #: Stands between words that are normalised together: a private character, which normal forms leave alone.
@@ -48,12 +50,14 @@ class WordEncoder:
         self.dtype, self.code = (np.dtype("<u2"), "H") if small else (np.dtype("<u4"), "I")
         # a special string begins with its own first two characters
         self.marks = sorted({t.content[:2] for t in self.whole.get_added_tokens_decoder().values()})
-        self.words: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.words = Generations()
+        self.parts = Generations()
         ids = self.whole.encode("a b", add_special_tokens=False).ids
         if ids != [*self.whole.encode("a", add_special_tokens=False).ids, *self.whole.encode("b", add_special_tokens=False).ids]:
             raise ValueError(f"{path} doesn't encode words one by one")
-        self.byte_char = _byte_chars()
+        #: Whether the normaliser does nothing to printable ASCII but lower its letters.
+        self.lowers = self.norm is not None and all(self.norm.normalize_str(x) == x.lower() for x in (string.printable[:94], *string.printable[:94]))
+        self.byte_char = "".join(map(_byte_chars().get, range(256), map(chr, range(256))))
 
     def _pack(self, ids: list[int]) -> bytes:
         return array(self.code, ids).tobytes()
@@ -62,12 +66,9 @@ class WordEncoder:
         """Ids of a normalised word of letters alone: one piece for the model."""
         got = self.parts.get(word)
         if got is None:
-            piece = word if word.isascii() else word.encode().decode("latin-1").translate(self.byte_char)
+            piece = word if word.isascii() else codecs.charmap_decode(word.encode(), "strict", self.byte_char)[0]
             got = array(self.code, [t.id for t in self.model.tokenize(piece)]).tobytes()
-            if len(word) <= LONGEST_KEY:
-                if len(self.parts) >= CACHE:
-                    self.parts.clear()
-                self.parts[word] = got
+            self.parts.put(word, got)
         return got
 
     def _normal(self, word: str) -> bytes:
@@ -75,24 +76,38 @@ class WordEncoder:
             return self._letters(word)
         got = self.parts.get(word)
         if got is None:
+            letters = word.rstrip(string.punctuation)
+            if letters.isalpha():  # letters are a piece, whatever marks stand behind them
+                return self._letters(letters) + self._normal(word[len(letters) :])
             got = b"".join(self._pack([t.id for t in self.model.tokenize(piece)]) for piece, _ in self.pre.pre_tokenize_str(word))
-            if len(word) <= LONGEST_KEY:
-                self.parts[word] = got
+            self.parts.put(word, got)
         return got
 
     def _learn(self, missing: list[bytes]) -> dict[bytes, bytes]:
-        texts = [w.decode() for w in missing]
+        out, odd, lowers, code, tokenize = {}, [], self.lowers, self.code, self.model.tokenize
+        for w in missing:
+            if not (lowers and w.isascii()):
+                odd.append(w)
+                continue
+            n = w.lower().decode()
+            if n.isalpha():  # most words: no calls that can be spared
+                got = self.parts.get(n)
+                if got is None:
+                    got = array(code, [t.id for t in tokenize(n)]).tobytes()
+                    self.parts.put(n, got)
+                out[w] = got
+            elif n.isprintable():
+                out[w] = self._normal(n)
+            else:
+                odd.append(w)
+        texts = [w.decode() for w in odd]
         # the separator is no white space, so a word that vanishes or falls apart shifts no other
-        normal = self.norm.normalize_str(BETWEEN.join(texts)).split(BETWEEN) if self.norm else texts
+        normal = self.norm.normalize_str(BETWEEN.join(texts)).split(BETWEEN) if self.norm and texts else texts
         if len(normal) != len(texts):  # a word holds the separator
             normal = [self.norm.normalize_str(t) for t in texts]
-        out = {}
-        for w, t, n in zip(missing, texts, normal, strict=True):
-            if n.split() != [n]:  # other white space than the six bytes
-                out[w] = self._pack(self.whole.encode(t, add_special_tokens=False).ids)
-            else:
-                # a word that ends in one mark is two pieces, both met often
-                out[w] = self._letters(n[:-1]) + self._normal(n[-1]) if n[-1:] in (".", ",") and n[:-1].isalpha() else self._normal(n)
+        for w, t, n in zip(odd, texts, normal, strict=True):
+            # other white space than the six bytes makes no word, or several
+            out[w] = self._normal(n) if n.split() == [n] else self._pack(self.whole.encode(t, add_special_tokens=False).ids)
         return out
 
     def ids(self, text: str | None) -> bytes:
@@ -102,18 +117,48 @@ class WordEncoder:
         if any(m in text for m in self.marks):
             return self._pack(self.whole.encode(text, add_special_tokens=False).ids)
         words = text.encode().split()
-        get = self.words.get
-        found = list(map(get, words))
+        found = list(map(self.words.young.get, words))
         if None in found:
-            missing = list({w for w, f in zip(words, found, strict=True) if f is None})
-            new = self._learn(missing)
+            new, missing = {}, []
+            for w in {w for w, f in zip(words, found, strict=True) if f is None}:
+                got = self.words.old.get(w)
+                if got is None:
+                    missing.append(w)
+                else:
+                    new[w] = got
+            new.update(self._learn(missing))
             found = [new[w] if f is None else f for w, f in zip(words, found, strict=True)]
-            if len(self.words) + len(new) > CACHE:
-                self.words.clear()
-            self.words.update((w, v) for w, v in new.items() if len(w) <= LONGEST_KEY)
+            self.words.update(new)
         return b"".join(found)
 
 
+class Generations:
+    """A cache of two halves: when the young one is full, it becomes the old one, and what is met again is young again."""
+
+    def __init__(self):
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def get(self, key):
+        got = self.young.get(key)
+        if got is None:
+            got = self.old.get(key)
+            if got is not None:
+                self.put(key, got)
+        return got
+
+    def put(self, key, value) -> None:
+        if len(key) <= LONGEST_KEY:
+            if len(self.young) >= HALF:
+                self.young, self.old = {}, self.young
+            self.young[key] = value
+
+    def update(self, new: dict) -> None:
+        if len(self.young) + len(new) > HALF:
+            self.young, self.old = {}, self.young
+        self.young.update(new if max(map(len, new)) <= LONGEST_KEY else {k: v for k, v in new.items() if len(k) <= LONGEST_KEY})
+
+
 def _byte_chars() -> dict[int, str]:
     """The byte-level alphabet by its rule: printable bytes stand for themselves, the others for 256, 257, ..."""
     plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
