@@ -75,17 +75,16 @@ def _crossings(edges: DataFrame, places: DataFrame) -> DataFrame:
 
 def _reached(crossings: DataFrame, starts: DataFrame) -> DataFrame:
     """(line, at): the highest place of each line that a walk from ``starts`` (line, at) reaches."""
-    reached = cut_lineage(starts.groupBy("line").agg(F.min("at").alias("at")))
-    new = reached.withColumn("below", F.lit(None).cast("bigint"))  # places from ``at`` to ``below`` are news
+    # places from ``at`` to ``below`` are news of the last round
+    state = cut_lineage(starts.groupBy("line").agg(F.min("at").alias("at")).withColumn("below", F.lit(None).cast("bigint")))
     while True:
-        over = (crossings.join(new, "line").where("pos >= at and (below is null or pos < below)")
-                .groupBy(F.col("to_line").alias("line")).agg(F.min("to_pos").alias("_to")))
-        news = cut_lineage(over.join(reached.withColumnRenamed("at", "below"), "line", "left")
-                           .where("below is null or _to < below").select("line", F.col("_to").alias("at"), "below"))
+        news = state.where("below is null or at < below")
         if not news.limit(1).count():
-            return reached
-        reached = cut_lineage(reached.join(news.select("line"), "line", "left_anti").unionByName(news.select("line", "at")))
-        new = news
+            return state.select("line", "at")
+        over = (crossings.join(news, "line").where("pos >= at and (below is null or pos < below)")
+                .groupBy(F.col("to_line").alias("line")).agg(F.min("to_pos").alias("_to")))
+        known = state.select("line", F.col("at").alias("below"))
+        state = cut_lineage(known.join(over, "line", "full_outer").select("line", F.least("below", "_to").alias("at"), "below"))
 
 
 def _along(places: DataFrame, chunk: int) -> DataFrame:

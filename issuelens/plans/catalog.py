@@ -21,9 +21,12 @@ from ..operators import combine as CO
 from ..operators import descriptions as DE
 from ..operators import duplication as DU
 from ..operators import embed as EM
+from ..operators import history as HI
 from ..operators import linking as LI
 from ..operators import sampling as SA
 from ..operators import snapshots as SN
+from ..operators import treeobjects as TO
+from ..operators import versionlog as VL
 from ..sources import bindings as B
 from ..sources import sinks as SK
 from ..session import ensure_checkpoint_dir
@@ -82,6 +85,14 @@ def s1(spark, d):
                     F.array_join("parents", ",").alias("parents"), "tree")
 
 
+@register("s1_reachable_log", O.with_recursive(O.V_GRAPH) + """
+select cast(k as varchar) sha, cast(row_number() over (order by max(v) desc, cast(k as varchar)) - 1 as bigint) seq
+from cd group by k""")
+def s1_reachable(spark, d):
+    c = B.branchy_commits(spark, d)
+    return HI.reachable_log(c, B.last_head(c)).select("sha", "seq")
+
+
 @register("s2_scan_commit_files", O.with_(O.V_COMMIT_FILES) + "select sha, path, insertions, deletions from commit_files")
 def s2(spark, d):
     return B.commit_files(spark, d)
@@ -102,6 +113,28 @@ def s4(spark, d):
     return sf.join(texts, "blob_sha", "left").select("snapshot_sha", "path", "seq", "entry_type", "blob_sha", "n_chars")
 
 
+@register("s4_list_tree_objects", O.with_recursive(O.V_CODE_DOCS, O.V_TREE_OBJECTS) + f"""
+select root snapshot_sha, path, cast(row_number() over (partition by root order by depth, path) as bigint) seq, blob_sha
+from listed where {O.suffix_sql('name', T.CODE_SUFFIXES_BEFORE)}""")
+def s4_list(spark, d):
+    entries = B.tree_objects(spark, d)
+    roots = entries.where("tree_sha like 'root-%'").select("tree_sha")
+    return TO.list_trees(entries, roots, T.CODE_SUFFIXES_BEFORE).select("snapshot_sha", "path", "seq", "blob_sha")
+
+
+@register("s4_tree_object_metrics", O.with_recursive(O.V_CODE_DOCS, O.V_TREE_OBJECTS, O.V_BLOBS) + f""",
+measured as (select blob_sha, {O.loc_sql('text')} loc, {O.comments_sql('text')} comments, cast(length(text) as bigint) chars from blobs)
+select r.root tree_sha, cast(coalesce(sum(m.loc), 0) as bigint) LOC, cast(coalesce(sum(m.comments), 0) as bigint) Comments,
+       cast(count(m.blob_sha) as bigint) n_files, cast(coalesce(sum(m.chars), 0) as bigint) n_chars
+from roots r left join listed l on l.root = r.root and {O.suffix_sql('l.name', T.CODE_SUFFIXES_AFTER)}
+left join measured m on m.blob_sha = l.blob_sha group by r.root""")
+def s4_metrics(spark, d):
+    """A7, A8, A17 and A18 of every root tree, from tree objects."""
+    measured = CM.blob_metrics(SN.text_blobs(B.blobs(spark, d)), O.B4_DECISIONS)
+    trees = TO.tree_metrics(B.tree_objects(spark, d), measured, T.CODE_SUFFIXES_AFTER)
+    return trees.where("tree_sha like 'root-%'").select("tree_sha", "LOC", "Comments", "n_files", "n_chars")
+
+
 def _churn_df(spark, d) -> DataFrame:
     c = B.commits(spark, d).select("issue_id", "sha", "committed_date", "seq")
     return CH.issue_churn(c, B.commit_files(spark, d))
@@ -296,6 +329,32 @@ def j6b(spark, d):
         "path", "query_seq", "sha", "seq")
 
 
+def _whole_trees_sql(op: str) -> str:
+    return O.with_(O.V_VERSION_LOG, O.v_points(False), O.v_live(op)) + "select point_id, path, blob_sha, seq from live"
+
+
+@register("j6_whole_trees_before", _whole_trees_sql("<"))
+def j6_trees_before(spark, d):
+    trees = VL.trees_at(B.version_log(spark, d), B.log_points(spark, d, False), inclusive=False)
+    return trees.select("point_id", "path", "blob_sha", "seq")
+
+
+@register("j6_whole_trees_after", _whole_trees_sql("<="))
+def j6_trees_after(spark, d):
+    return VL.trees_at(B.version_log(spark, d), B.log_points(spark, d, False)).select("point_id", "path", "blob_sha", "seq")
+
+
+@register("j9_tree_digests", O.with_(O.V_VERSION_LOG, O.v_points(True), O.v_live("<=")) + """,
+hashed as (select point_id, ('0x' || substr(h, 1, 15))::bigint a, ('0x' || substr(h, 16, 15))::bigint b
+           from (select point_id, md5(path || chr(0) || blob_sha) h from live))
+select p.point_id, cast(count(h.a) as bigint) n_files,
+       cast(coalesce(sum(h.a), 0) as varchar) || ':' || cast(coalesce(sum(h.b), 0) as varchar) digest
+from points p left join hashed h on h.point_id = p.point_id group by p.point_id""")
+def j9_digests(spark, d):
+    """Identity of the tree at every point; the SQL lists the trees."""
+    return VL.tree_digests(B.version_log(spark, d), B.log_points(spark, d, True)).select("point_id", "n_files", "digest")
+
+
 @register("j7_file_history", O.with_(O.V_VERSIONS) + "select path, sha, seq from versions")
 def j7(spark, d):
     v = B.file_versions(spark, d)

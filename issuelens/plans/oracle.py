@@ -95,6 +95,56 @@ V_COMMITS = """commits as (
          cast(o_custkey as bigint) issue_id
   from orders)"""
 
+V_GRAPH = """graph as (
+  select k, case when k < 1 then [] when k % 8 = 3 then [first, k * 5 // 7] else [first] end parents,
+         1600000000 + k * 30 + o_custkey % 100 date
+  from (select cast(o_orderkey as bigint) k, o_custkey,
+               cast(case when o_orderkey % 64 = 0 then o_orderkey // 2 else o_orderkey - 1 end as bigint) first from orders)),
+link as (select k, p from (select k, unnest(parents) p from graph) where p in (select k from graph)),
+reached(k) as (select max(k) from graph having count(*) > 0 union select l.p from reached r join link l on l.k = r.k),
+cd(k, v) as (
+  select k, date from graph semi join reached using (k)
+  union select l.k, cd.v + 1 from cd join link l on l.p = cd.k join graph g on g.k = l.k semi join reached r on r.k = l.k
+  where cd.v + 1 > g.date)"""
+
+V_TREE_OBJECTS = """named as (select *, split_part(path, '/', -1) name, 'b' || cast(doc_id as varchar) blob from code_docs),
+roots as (select 'root-' || source || '-' || lang root, source, lang, min(doc_id) m from code_docs group by source, lang),
+entries as (
+  select 'own-' || source || '-' || lang tree, name, 'blob' kind, blob child from named
+  union all select 'leaf-' || cast(doc_id % 64 as varchar), name, 'blob', blob from named
+  union all select 'mid-' || cast(j as varchar), f.n, 'tree', 'leaf-' || cast((j + 16 * f.k) % 64 as varchar)
+    from range(16) t(j), (values (0, 'a'), (1, 'b'), (2, 'a-c'), (0, 'copy')) f(k, n)
+  union all select root, 'own', 'tree', 'own-' || source || '-' || lang from roots
+  union all select root, 'lib', 'tree', 'mid-' || cast(m % 16 as varchar) from roots
+  union all select root, 'vendor', 'tree', 'mid-' || cast((m + 1) % 16 as varchar) from roots
+  union all select root, 'gone', 'tree', 'not-here' from roots),
+opened(root, tree, prefix, depth) as (
+  select root, root, '', 0 from roots
+  union all select o.root, e.child, o.prefix || e.name || '/', o.depth + 1 from opened o join entries e on e.tree = o.tree where e.kind = 'tree'),
+listed as (select o.root, o.prefix || e.name path, o.depth, e.name, e.child blob_sha
+           from opened o join entries e on e.tree = o.tree where e.kind = 'blob')"""
+
+V_VERSION_LOG = """log as (
+  select 'p' || cast(l_partkey as varchar) path, cast(l_orderkey as bigint) seq,
+         'q' || cast(cast(trunc(max(l_quantity)) as bigint) as varchar) blob_sha, max(l_returnflag) = 'R' deleted
+  from lineitem group by l_partkey, l_orderkey)"""
+
+
+def v_points(segments: bool) -> str:
+    g = "cast(c_nationkey as varchar)" + (" || '-' || c_mktsegment" if segments else "")
+    return f"""ends as (select {g} g, min(o_orderkey) a, max(o_orderkey) b from orders join customer on c_custkey = o_custkey group by 1),
+points as (select g || ':first' point_id, cast(a as bigint) query_seq from ends
+           union all select g || ':last', cast(b as bigint) from ends)"""
+
+
+def v_live(op: str) -> str:
+    """Files of every point's tree, each tree listed by itself."""
+    return f"""newest as (
+  select p.point_id, p.query_seq, v.path, arg_max(v.blob_sha, v.seq) blob_sha, max(v.seq) seq, arg_max(v.deleted, v.seq) deleted
+  from points p join log v on v.seq {op} p.query_seq group by 1, 2, 3),
+live as (select * from newest where not deleted)"""
+
+
 V_COMMIT_FILES = """commit_files as (
   select cast(l_orderkey as varchar) sha, 'p' || cast(l_partkey as varchar) path,
          cast(trunc(max(l_quantity)) as bigint) insertions, cast(max(l_linenumber) as bigint) deletions
@@ -204,4 +254,8 @@ def with_(*ctes: str) -> str:
     return "with " + ",\n".join(ctes) + "\n"
 
 
+def with_recursive(*ctes: str) -> str:
+    return "with recursive " + ",\n".join(ctes) + "\n"
+
+
 WORDS = lit(WORD_TOKEN)

@@ -12,6 +12,10 @@ the scale factor.
 * snapshot_files, blobs <- documents (tree = source, path = doc id + suffix, blob = 'b<doc id>',
                              content = a code-like text derived from the prose)
 * file_versions <- conversations (path = conv_id, seq = turn, content = text)
+* branchy_commits <- orders  (the same commits as a graph with branches, merges, jumps and clocks that run backwards)
+* tree_objects  <- documents (folders that trees share; one root tree per source and language)
+* version_log   <- lineitem (path = part, seq = order, a returned part = a deleted file)
+* log_points    <- orders, customer (first and last order of a nation's market segment)
 * issue_responses <- events (issue = user_id, first two events = attempts)
 * issues        <- orders   (closed = status 'F')
 * token vectors <- embeddings (vec_id derived from the token)
@@ -56,6 +60,72 @@ def commits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def branchy_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Commit k has as first parent k - 1, or k div 2 if 64 divides k; every eighth one merges another line.
+
+    Dates grow with k but for a part of a minute and a half.
+    """
+    k = F.col("o_orderkey").cast("bigint")
+    first = F.when(k % 64 == 0, F.floor(k / 2).cast("bigint")).otherwise(k - 1)
+    merged = F.floor(k * 5 / 7).cast("bigint")
+    parents = F.when(k < 1, F.array().cast("array<string>")).when(
+        k % 8 == 3, F.array(first.cast("string"), merged.cast("string"))).otherwise(F.array(first.cast("string")))
+    date = F.timestamp_seconds(F.lit(1_600_000_000) + k * 30 + F.col("o_custkey") % 100)
+    return table(spark, sf_dir, "orders").select(k.cast("string").alias("sha"), parents.alias("parents"),
+                                                 date.alias("committed_date"))
+
+
+def last_head(commits: DataFrame) -> DataFrame:
+    """The head: the commit of the greatest number; commits that only others reach are no part of its log."""
+    return commits.agg(F.max(F.col("sha").cast("bigint")).cast("string").alias("sha")).where("sha is not null")
+
+
+def tree_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Root trees per (source, lang) with an own folder and two of 16 shared ones, each of four folders of files."""
+    d = code_documents(spark, sf_dir)
+    text = lambda *c: F.concat(*[x if isinstance(x, Column) else F.lit(x) for x in c])
+    name, blob, i = F.element_at(F.split("path", "/"), -1), blob_id(F.col("doc_id")), F.col("doc_id").cast("bigint")
+    row = lambda df, tree, name, kind, child: df.select(
+        tree.alias("tree_sha"), (name if isinstance(name, Column) else F.lit(name)).alias("name"),
+        F.lit(kind).alias("entry_type"), child.alias("child_sha"))
+    own = row(d, text("own-", F.col("source"), "-", F.col("lang")), name, "blob", blob)
+    leaves = row(d, text("leaf-", (i % 64).cast("string")), name, "blob", blob)
+    j = F.col("id")
+    mids = [row(spark.range(16), text("mid-", j.cast("string")), folder, "tree", text("leaf-", ((j + 16 * k) % 64).cast("string")))
+            for k, folder in ((0, "a"), (1, "b"), (2, "a-c"), (0, "copy"))]
+    roots = d.groupBy("source", "lang").agg(F.min(i).alias("m"))
+    root = text("root-", F.col("source"), "-", F.col("lang"))
+    tops = [row(roots, root, "own", "tree", text("own-", F.col("source"), "-", F.col("lang"))),
+            row(roots, root, "lib", "tree", text("mid-", (F.col("m") % 16).cast("string"))),
+            row(roots, root, "vendor", "tree", text("mid-", ((F.col("m") + 1) % 16).cast("string"))),
+            row(roots, root, "gone", "tree", F.lit("not-here"))]
+    out = own
+    for part in (leaves, *mids, *tops):
+        out = out.unionByName(part)
+    return out
+
+
+def version_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(path, seq, blob_sha, deleted): a part's order is a version of a file."""
+    li = table(spark, sf_dir, "lineitem")
+    return (li.groupBy("l_partkey", "l_orderkey")
+            .agg(F.max("l_quantity").cast("bigint").alias("_q"), F.max("l_returnflag").alias("_r"))
+            .select(F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("path"),
+                    F.col("l_orderkey").cast("bigint").alias("seq"),
+                    F.concat(F.lit("q"), F.col("_q").cast("string")).alias("blob_sha"), (F.col("_r") == "R").alias("deleted")))
+
+
+def log_points(spark: SparkSession, sf_dir: str, segments: bool) -> DataFrame:
+    """(point_id, query_seq): first and last order of each nation, or of each market segment of a nation."""
+    c = table(spark, sf_dir, "customer")
+    group = F.concat_ws("-", F.col("c_nationkey").cast("string"), *([F.col("c_mktsegment")] if segments else []))
+    owned = table(spark, sf_dir, "orders").join(c.select(F.col("c_custkey").alias("o_custkey"), group.alias("g")), "o_custkey")
+    ends = owned.groupBy("g").agg(F.min("o_orderkey").cast("bigint").alias("a"), F.max("o_orderkey").cast("bigint").alias("b"))
+    pair = F.array(F.struct(F.concat("g", F.lit(":first")).alias("point_id"), F.col("a").alias("query_seq")),
+                   F.struct(F.concat("g", F.lit(":last")).alias("point_id"), F.col("b").alias("query_seq")))
+    return ends.select(F.inline(pair))
+
+
 def commit_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     return (li.groupBy("l_orderkey", "l_partkey")
