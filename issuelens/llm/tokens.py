@@ -17,7 +17,7 @@ import numpy as np
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks already use all cores
 
 #: Entries that a worker's cache holds before it starts anew (memory, not results, depend on it), and a half of a cache of two.
-CACHE, HALF = 500_000, 350_000
+CACHE, HALF = 500_000, 150_000
 #: Longer units are encoded each time.
 LONGEST_KEY = 48
 #: Stands between words that are normalised together: a private character, which normal forms leave alone.
