@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import OPERAND_START, lex_operands, lex_operators, non_blank_lines
+from .text import (BLANK_LINE_CHARS, CONTROL_LINE, FUNCTION_LINE, HANGING_BRACE, OPERATOR_START, code_only, lex_operands,
+                   lex_operators, scannable, string_literals)
 
 # ---------------------------------------------------------------------------
 # Fixed values of the maintainability index formula (reference constants,
@@ -69,8 +70,8 @@ def _mi(v, cc, s, k) -> Column:
 def halstead_counts(tokens) -> Column:
     """F4 inputs: distinct/total operators (h1, N1) and operands (h2, N2) of a token array."""
     toks = _c(tokens)
-    ops = F.filter(toks, lambda t: ~t.rlike(OPERAND_START))
-    opnds = F.filter(toks, lambda t: t.rlike(OPERAND_START))
+    ops = F.filter(toks, lambda t: t.rlike(OPERATOR_START))
+    opnds = F.filter(toks, lambda t: ~t.rlike(OPERATOR_START))
     return split_counts(ops, opnds)
 
 
@@ -104,11 +105,24 @@ def truncate_int(x) -> Column:
 def file_halstead(text, ops=None, opnds=None) -> Column:
     """Per-file Halstead figures, integerised as the reference sums them (A10 input).
 
-    ``ops`` / ``opnds`` may pass already extracted operator / operand arrays of ``text``.
+    ``ops`` / ``opnds`` may pass already extracted operator / operand arrays of
+    ``text`` (see :func:`operators_and_operands`).
     """
-    counts = split_counts(lex_operators(text) if ops is None else ops,
-                          lex_operands(text) if opnds is None else opnds)
+    if ops is None:
+        return let(scannable(text), lambda s: let(operators_and_operands(s), lambda t: _integerised(split_counts(t["ops"], t["opnds"]))))
+    return _integerised(split_counts(ops, opnds))
 
+
+def operators_and_operands(scanned) -> Column:
+    """F4 tokens of a :func:`~issuelens.functions.text.scannable` text.
+
+    Comments hold none; a string literal is one operand, whatever is in it.
+    """
+    code = code_only(scanned)
+    return F.struct(lex_operators(code).alias("ops"), F.concat(lex_operands(code), string_literals(scanned)).alias("opnds"))
+
+
+def _integerised(counts) -> Column:
     def integerise(c):
         m = halstead_measures(c["h1"], c["h2"], c["N1"], c["N2"])
         return F.struct(
@@ -121,19 +135,56 @@ def file_halstead(text, ops=None, opnds=None) -> Column:
     return let(counts, integerise)
 
 
-def lexical_complexity(text, decisions=DEFAULT_DECISIONS, ops=None, opnds=None) -> Column:
-    """F5 (lexical): mean block complexity of one file, rounded to 2 places.
+def function_complexities(code, decisions=DEFAULT_DECISIONS) -> Column:
+    """cyclomatic complexity of each function of a file, in order, from its code without comments and strings.
 
-    A block is a non-blank line; its complexity is 1 + the decision tokens on
-    it.  A file without blocks cannot be measured and yields NULL ("broken").
+    A line's depth is the number of braces open before it, then its
+    indentation.  A line that opens a function starts a block when none is
+    open; the block goes on while lines are deeper than its first.  Its complexity is 1 +
+    its decision tokens + the functions inside it.
     """
     dec = F.array(*[F.lit(d) for d in decisions])
-    ops = lex_operators(text) if ops is None else _c(ops)
-    opnds = lex_operands(text) if opnds is None else _c(opnds)
-    hits = (F.size(F.filter(opnds, lambda t: F.array_contains(dec, t)))
-            + F.size(F.filter(ops, lambda t: F.array_contains(dec, t)))).cast("bigint")
-    bh = F.struct(non_blank_lines(text).alias("b"), hits.alias("h"))
-    return let(bh, lambda x: F.when(x["b"] > 0, F.bround((x["b"] + x["h"]).cast("double") / x["b"].cast("double"), 2)))
+
+    def measured(line):
+        hits = (F.size(F.filter(lex_operands(line), lambda t: F.array_contains(dec, t)))
+                + F.size(F.filter(lex_operators(line), lambda t: F.array_contains(dec, t))))
+        closed = F.length(F.regexp_extract(line, r"^[ \t]*(\}*)", 1))
+        opens = F.length(line) - F.length(F.replace(line, F.lit("{"), F.lit("")))
+        closes = F.length(line) - F.length(F.replace(line, F.lit("}"), F.lit("")))
+        at = F.length(F.regexp_extract(line, r"^([ \t]*)", 1))
+        starts = F.when(line.rlike(r"^[ \t]*\{"), 1).otherwise(0)
+        return F.struct((starts - closed).alias("lead"), at.alias("indent"), (opens - closes).alias("braces"), hits.cast("bigint").alias("hits"),
+                        (line.rlike(FUNCTION_LINE) & ~line.rlike(CONTROL_LINE)).alias("opens"))
+
+    lines = F.filter(F.split(F.regexp_replace(_c(code), HANGING_BRACE, ") {"), "\n", -1), lambda l: l.rlike(BLANK_LINE_CHARS))
+    none, nothing = F.lit(None).cast("int"), F.array().cast("array<bigint>")
+    start = F.struct(F.lit(0).alias("braces"), none.alias("b"), none.alias("i"), F.lit(0).cast("bigint").alias("cur"), nothing.alias("done"))
+
+    def step(s, x):
+        depth = s["braces"] + x["lead"]
+        inside = F.coalesce((depth > s["b"]) | ((depth == s["b"]) & (x["indent"] > s["i"])), F.lit(False))
+        begins = ~inside & x["opens"]
+        return F.struct(
+            (s["braces"] + x["braces"]).alias("braces"),
+            F.when(inside, s["b"]).when(begins, depth).alias("b"),
+            F.when(inside, s["i"]).when(begins, x["indent"]).alias("i"),
+            F.when(inside, s["cur"] + x["hits"] + x["opens"].cast("bigint")).when(begins, x["hits"] + 1).otherwise(F.lit(0)).cast("bigint").alias("cur"),
+            F.when(~inside & s["b"].isNotNull(), F.concat(s["done"], F.array(s["cur"]))).otherwise(s["done"]).alias("done"))
+
+    return F.aggregate(F.transform(lines, measured), start, step,
+                       lambda s: F.when(s["b"].isNotNull(), F.concat(s["done"], F.array(s["cur"]))).otherwise(s["done"]))
+
+
+def lexical_complexity(text, decisions=DEFAULT_DECISIONS, code=None) -> Column:
+    """Mean complexity of a file's functions, rounded to 2 places.
+
+    A file without functions cannot be measured and yields NULL ("broken").
+    ``code`` may pass the already extracted code of ``text``.
+    """
+    code = code_only(scannable(text)) if code is None else _c(code)
+    total = lambda c: F.aggregate(c, F.lit(0).cast("bigint"), lambda a, x: a + x)
+    return let(function_complexities(code, decisions),
+               lambda c: F.when(F.size(c) > 0, F.bround(total(c).cast("double") / F.size(c).cast("double"), 2)))
 
 
 def null_placeholder() -> Column:

@@ -54,12 +54,28 @@ COMMENT = r"(//[^\n]*|#[^\n]*|/\*[\s\S]*?\*/)"
 
 # Lexical tokens for Halstead counts and lexical complexity.
 LEX_TOKEN = r"([A-Za-z_][A-Za-z0-9_]*|[0-9]+|[-+*/%=<>!&|^~]+)"
-OPERAND_START = r"^[A-Za-z0-9_]"
+OPERATOR_START = r"^[-+*/%=<>!&|^~]"
 # The same tokens by kind: the two character classes are disjoint and every
 # token is a maximal run, so extracting each kind on its own gives exactly the
 # operands / operators of LEX_TOKEN, in order, without a regex per token.
 LEX_OPERAND = r"([A-Za-z_][A-Za-z0-9_]*|[0-9]+)"
 LEX_OPERATOR = r"([-+*/%=<>!&|^~]+)"
+# One scan with the states of a lexer: a comment (the pattern above), or a string
+# literal as group 1.  The leftmost match wins, so a comment sign inside a string is
+# part of the string, and a quote inside a comment part of the comment.
+SCAN = (r"//[^\n]*|#[^\n]*|/\*[\s\S]*?\*/"
+        r"|(\"\"\"[\s\S]*?\"\"\"|'''[\s\S]*?'''|\"[^\"\n]*\"|'[^'\n]*'|`[^`]*`)")
+# Escaped backslashes and quotes become private characters before the scan.
+ESCAPES = (("\\\\", "\ue004"), ("\\\"", "\ue001"), ("\\'", "\ue002"), ("\\`", "\ue003"))
+# An opening brace on its own line goes up to the parenthesis before it.
+HANGING_BRACE = r"\)[ \t\r]*\n[ \t\r\n]*\{"
+# Lines that open a function: a keyword, a name with parentheses before a brace, or an arrow before a brace ...
+FUNCTION_LINE = (r"(^|[^A-Za-z0-9_$.])(def|function|func)([^A-Za-z0-9_]|\z)"
+                 r"|[A-Za-z0-9_$>\]][ \t]*\([^;{}]*\)[^;(){}=]*\{|=>[ \t]*\{")
+# ... unless they start with one of these words.
+CONTROL_LINE = (r"^[ \t}]*(if|else|elif|for|foreach|while|switch|case|catch|do|try|return|with|when|match|loop|unless|until"
+                r"|synchronized|using|lock)([^A-Za-z0-9_]|\z)")
+BLANK_LINE_CHARS = r"[^ \t\r\f\x0B]"
 # Word tokens fed to the static vector lookup.
 WORD_TOKEN = r"([A-Za-z]+)"
 
@@ -162,6 +178,24 @@ def decode_utf8(content) -> Column:
     return F.decode(_c(content), "UTF-8")
 
 
+def scannable(text) -> Column:
+    """``text`` as :data:`SCAN` takes it; comment openings that nothing closes are broken up, so the scan stays linear."""
+    t = _c(text)
+    for seen, instead in ESCAPES:
+        t = F.replace(t, F.lit(seen), F.lit(instead))
+    return _after_last(t, r"\*/", r"/\*", "/ *")
+
+
+def code_only(scanned) -> Column:
+    """The code of a :func:`scannable` text: a blank for each comment and string literal."""
+    return F.regexp_replace(_c(scanned), SCAN, " ")
+
+
+def string_literals(scanned) -> Column:
+    """The string literals of a :func:`scannable` text, in order."""
+    return F.filter(F.regexp_extract_all(_c(scanned), F.lit(SCAN), 1), lambda s: s != "")
+
+
 def lex_tokens(text) -> Column:
     return F.regexp_extract_all(_c(text), F.lit(LEX_TOKEN), 1)
 
@@ -176,8 +210,3 @@ def lex_operators(text) -> Column:
 
 def word_tokens(text) -> Column:
     return F.regexp_extract_all(_c(text), F.lit(WORD_TOKEN), 1)
-
-
-def non_blank_lines(text) -> Column:
-    """Number of '\\n'-separated lines holding a non-space character."""
-    return count_lines_with_text(text, "\n+")

@@ -378,7 +378,7 @@ def _tree_metrics_sql(files_view: str, with_dup: bool = False) -> str:
     dup = ""
     if with_dup:
         dup = ", coalesce(dd.dup, 0) CodeDuplication"
-    return f"""
+    return f"""{O.v_blocks(f'select distinct text t from {files_view}')},
 pf as (select snapshot_sha, {O.loc_sql('text')} loc, {O.comments_sql('text')} comments,
               cast(length(text) as bigint) chars, {O.cc_sql('text')} cc, {O.halstead_counts_sql(O.toks_sql('text'))}
        from {files_view}),
@@ -497,7 +497,7 @@ def a10(spark, d):
 @register("a11_broken_pct", O.with_(
     O.V_CODE_DOCS, O.V_SNAPSHOT_FILES,
     "blobs as (select 'b' || cast(doc_id as varchar) blob_sha, case when doc_id % 9 = 4 then chr(10) || ' ' else code end text from code_docs)",
-    O.V_FILES_BEFORE) + f""",
+    O.V_FILES_BEFORE, O.v_blocks("select distinct text t from files_before")) + f""",
 pf as (select snapshot_sha, {O.cc_sql('text')} cc, case when cast(substr(blob_sha, 2) as bigint) % 5 <> 3 then {O.toks_sql('text')} end toks
        from files_before)
 select snapshot_sha, round(100.0 * count(*) filter (where cc is null) / count(*), 6) broken_pct_complexity,
@@ -519,10 +519,11 @@ def a11(spark, d):
 _DUP_SQL = f"""
 win as (select snapshot_sha, path, list_filter(list_transform(string_split(text, chr(10)),
                   lambda l: trim(l, ' ' || chr(9) || chr(13))), lambda l: l <> '') ls from files_before),
-blk as (select snapshot_sha, md5(array_to_string(ls[i:i + {O.DUP_WINDOW - 1}], chr(10))) h
+blk as (select snapshot_sha, md5(array_to_string(ls[i:i + {O.DUP_WINDOW - 1}], chr(10))) h, case when i > 1 then 'x' || ls[i - 1] else '' end prev
         from (select *, unnest(range(1, len(ls) - {O.DUP_WINDOW - 2})) i from win)),
-dd as (select snapshot_sha, cast(count(*) filter (where n > 1) as bigint) dup
-       from (select snapshot_sha, h, count(*) n from blk group by all) group by snapshot_sha)"""
+dd as (select snapshot_sha, cast(count(*) filter (where n > 1 and (starts > 0 or lines > 1)) as bigint) dup
+       from (select snapshot_sha, h, count(*) n, count(*) filter (where prev = '') starts, count(distinct prev) lines from blk group by all)
+       group by snapshot_sha)"""
 
 
 @register("a12_duplicate_blocks", O.with_(O.V_CODE_DOCS, O.V_SNAPSHOT_FILES, O.V_BLOBS, O.V_FILES_BEFORE) + "," + _DUP_SQL + """
@@ -652,7 +653,8 @@ def f2p(spark, d):
     return p.select("page_id", T.comment_lines("html").alias("comments_html"), T.comment_lines("url").alias("comments_url"))
 
 
-_PER_DOC_SQL = O.with_(O.V_CODE_DOCS) + f""",
+_V_DOC_BLOCKS = O.v_blocks("select distinct code t from code_docs")
+_PER_DOC_SQL = O.with_(O.V_CODE_DOCS, _V_DOC_BLOCKS) + f""",
 pf as (select doc_id, {O.loc_sql('code')} loc, {O.comments_sql('code')} comments, {O.cc_sql('code')} cc,
               {O.halstead_counts_sql(O.toks_sql('code'))} from code_docs),
 pd as (select *, {O.HALSTEAD_DERIVED} from pf)"""
@@ -677,15 +679,24 @@ select doc_id, h1, h2, n1 "N1", n2 "N2", hl length, hv vocabulary, round(hvol, 6
        round(hdiff * hvol, 6) effort from pd""")
 def f4(spark, d):
     docs = B.code_documents(spark, d)
-    c = M.halstead_counts(T.lex_tokens("code"))
-    x = docs.select("doc_id", c.alias("c"))
+    tokens = M.let(T.scannable("code"), M.operators_and_operands)
+    x = docs.select("doc_id", M.let(tokens, lambda t: M.split_counts(t["ops"], t["opnds"])).alias("c"))
     m = M.halstead_measures(F.col("c.h1"), F.col("c.h2"), F.col("c.N1"), F.col("c.N2"))
     return x.select("doc_id", "c.h1", "c.h2", "c.N1", "c.N2", m["length"].alias("length"),
                     m["vocabulary"].alias("vocabulary"), _r6(m["volume"]).alias("volume"),
                     _r6(m["difficulty"]).alias("difficulty"), _r6(m["effort"]).alias("effort"))
 
 
-@register("f5_block_complexity", O.with_(O.V_CODE_DOCS) + f"select doc_id, {O.cc_sql('code')} cc from code_docs")
+@register("f5_function_complexities", O.with_(O.V_CODE_DOCS, _V_DOC_BLOCKS) + """
+select doc_id, array_to_string(coalesce(c.complexities, []), ',') complexities
+from code_docs left join (select t, list(cast(complexity as varchar) order by line) complexities from blocks group by t) c on c.t = code""")
+def f5_functions(spark, d):
+    """The complexity of each function of a file; the SQL finds the functions' line ranges by windows and joins."""
+    found = M.function_complexities(T.code_only(T.scannable("code")), O.B4_DECISIONS)
+    return B.code_documents(spark, d).select("doc_id", F.array_join(found.cast("array<string>"), ",").alias("complexities"))
+
+
+@register("f5_block_complexity", O.with_(O.V_CODE_DOCS, _V_DOC_BLOCKS) + f"select doc_id, {O.cc_sql('code')} cc from code_docs")
 def f5(spark, d):
     return B.code_documents(spark, d).select("doc_id", M.lexical_complexity("code", O.B4_DECISIONS).alias("cc"))
 
@@ -824,8 +835,9 @@ def _p7_sql() -> str:
   left join commits lc on lc.sha = ch.last_commit)""",
         O.V_CODE_DOCS, O.V_SNAPSHOT_FILES, O.V_BLOBS, O.V_FILES_BEFORE, O.V_FILES_AFTER, O.V_TOKVEC,
         """pf as (select 'before' side, * from files_before union all select 'after' side, * from files_after)""",
+        O.v_blocks("select distinct text t from pf", DEFAULT_DECISIONS),
         f"""pm as (select side, snapshot_sha, {O.loc_sql('text')} loc, {O.comments_sql('text')} comments,
-              {O.cc_sql('text', DEFAULT_DECISIONS)} cc, {O.halstead_counts_sql(O.toks_sql('text'))} from pf)""",
+              {O.cc_sql('text')} cc, {O.halstead_counts_sql(O.toks_sql('text'))} from pf)""",
         f"""pd as (select *, {O.HALSTEAD_DERIVED} from pm)""",
         f"""tm as (select side, snapshot_sha, cast(sum(loc) as bigint) loc, cast(sum(comments) as bigint) comments,
               avg(cc) cc, cast(sum(cast(hl as bigint)) as bigint) hl, cast(sum(cast(hv as bigint)) as bigint) hv,
@@ -834,10 +846,12 @@ def _p7_sql() -> str:
        from pd group by side, snapshot_sha)""",
         f"""win as (select side, snapshot_sha, list_filter(list_transform(string_split(text, chr(10)),
                   lambda l: trim(l, ' ' || chr(9) || chr(13))), lambda l: l <> '') ls from pf)""",
-        f"""blk as (select side, snapshot_sha, md5(array_to_string(ls[i:i + {w - 1}], chr(10))) h
+        f"""blk as (select side, snapshot_sha, md5(array_to_string(ls[i:i + {w - 1}], chr(10))) h,
+                 case when i > 1 then 'x' || ls[i - 1] else '' end prev
         from (select *, unnest(range(1, len(ls) - {w - 2})) i from win))""",
-        """dd as (select side, snapshot_sha, cast(count(*) filter (where n > 1) as bigint) dup
-       from (select side, snapshot_sha, h, count(*) n from blk group by all) group by side, snapshot_sha)""",
+        """dd as (select side, snapshot_sha, cast(count(*) filter (where n > 1 and (starts > 0 or lines > 1)) as bigint) dup
+       from (select side, snapshot_sha, h, count(*) n, count(*) filter (where prev = '') starts, count(distinct prev) lines
+             from blk group by all) group by side, snapshot_sha)""",
         f"""ft as (select side, snapshot_sha, seq, text, len(regexp_extract_all(text, {O.WORDS}, 1)[1:512]) c from pf)""",
         """fo as (select *, coalesce(sum(c) over (partition by side, snapshot_sha order by seq
                   rows between unbounded preceding and 1 preceding), 0) off from ft where c > 0)""",

@@ -10,8 +10,9 @@ mirrored by rounding a decimal cast of the value's text.
 
 from __future__ import annotations
 
-from ..functions.text import (CODE_SUFFIXES_AFTER, CODE_SUFFIXES_BEFORE, COMMENT, LEX_TOKEN,
-                              LINE_SEP_CHARS, LOC_STRIP_RE2, NON_WS, OPERAND_START, WORD_TOKEN)
+from ..functions.text import (BLANK_LINE_CHARS, CODE_SUFFIXES_AFTER, CODE_SUFFIXES_BEFORE, COMMENT, CONTROL_LINE, ESCAPES,
+                              FUNCTION_LINE, HANGING_BRACE, LEX_TOKEN, LINE_SEP_CHARS, LOC_STRIP_RE2, NON_WS, OPERATOR_START,
+                              SCAN, WORD_TOKEN)
 
 B4_DECISIONS = ("and", "or", "for", "if", "the")
 DUP_WINDOW = 4
@@ -38,13 +39,20 @@ def comments_sql(col: str) -> str:
             f"lambda m: len(string_split(m, chr(10))))), 0) as bigint)")
 
 
-def toks_sql(col: str) -> str:
-    return f"regexp_extract_all({col}, {lit(LEX_TOKEN)}, 1)"
+def scannable_sql(col: str) -> str:
+    for seen, instead in ESCAPES:
+        col = f"replace({col}, {lit(seen)}, {lit(instead)})"
+    return col
 
 
-def blocks_sql(col: str) -> str:
-    return (f"cast(len(list_filter(string_split({col}, chr(10)), "
-            f"lambda l: regexp_matches(l, {lit(NON_WS)}))) as bigint)")
+def code_sql(col: str) -> str:
+    return f"regexp_replace({scannable_sql(col)}, {lit(SCAN)}, ' ', 'g')"
+
+
+def toks_sql(col: str) -> str:
+    """Tokens outside comments and strings, then the string literals."""
+    strings = f"list_filter(regexp_extract_all({scannable_sql(col)}, {lit(SCAN)}, 1), lambda s: s <> '')"
+    return f"list_concat(regexp_extract_all({code_sql(col)}, {lit(LEX_TOKEN)}, 1), {strings})"
 
 
 def bround_sql(x: str, d: int = 2) -> str:
@@ -52,17 +60,40 @@ def bround_sql(x: str, d: int = 2) -> str:
     return f"cast(round_even(cast(cast({x} as varchar) as decimal(38,18)), {d}) as double)"
 
 
-def cc_sql(col: str, decisions=B4_DECISIONS) -> str:
+def v_blocks(of: str, decisions=B4_DECISIONS) -> str:
+    """blocks(t, line, complexity): every function of the texts ``of`` (a query of one column t).
+
+    Functions are found by their line ranges: a function line reaches up to the next line that is not deeper;
+    those inside another's range are counted there.
+    """
     dec = "[" + ", ".join(lit(d) for d in decisions) + "]"
-    hits = f"len(list_filter({toks_sql(col)}, lambda t: list_contains({dec}, t)))"
-    b = blocks_sql(col)
-    return f"(case when {b} > 0 then {bround_sql(f'cast({b} + {hits} as double) / {b}')} end)"
+    return f"""texts as ({of}),
+lns as (select t, unnest(ls) l, generate_subscripts(ls, 1) i from (select t, list_filter(string_split(
+  regexp_replace({code_sql('t')}, {lit(HANGING_BRACE)}, ') {{', 'g'), chr(10)), lambda l: regexp_matches(l, {lit(BLANK_LINE_CHARS)})) ls from texts)),
+feat as (select t, i, length(replace(l, '}}', '')) - length(replace(l, '{{', '')) braces,
+  length(regexp_extract(l, '^([ \\t]*)', 1)) indent,
+  case when regexp_matches(l, '^[ \\t]*\\{{') then 1 else 0 end - length(regexp_extract(l, '^[ \\t]*(\\}}*)', 1)) lead,
+  regexp_matches(l, {lit(FUNCTION_LINE)}) and not regexp_matches(l, {lit(CONTROL_LINE)}) opens,
+  len(list_filter(regexp_extract_all(l, {lit(LEX_TOKEN)}, 1), lambda x: list_contains({dec}, x))) hits from lns),
+deep as (select *, lead + coalesce(sum(braces) over (partition by t order by i rows between unbounded preceding and 1 preceding), 0) d from feat),
+spans as (select h.t, h.i, h.hits, (select min(n.i) from deep n where n.t = h.t and n.i > h.i
+  and (n.d < h.d or n.d = h.d and n.indent <= h.indent)) e from deep h where h.opens),
+tops as (select * from spans s where not exists (
+  select 1 from spans o where o.t = s.t and o.i < s.i and (o.e is null or s.i < o.e))),
+blocks as (select s.t, s.i line, 1 + sum(n.hits) + count(*) filter (where n.opens and n.i > s.i) complexity
+  from tops s join deep n on n.t = s.t and n.i >= s.i and (s.e is null or n.i < s.e) group by s.t, s.i),
+cc_of as (select t, {bround_sql('cast(sum(complexity) as double) / count(*)')} cc from blocks group by t)"""
+
+
+def cc_sql(col: str) -> str:
+    """The mean complexity of a text among those of :func:`v_blocks`."""
+    return f"(select c.cc from cc_of c where c.t = {col})"
 
 
 def halstead_counts_sql(col: str) -> str:
     """h1, h2, N1, N2 columns (as a select list fragment) from the token list ``col``."""
-    ops = f"list_filter({col}, lambda t: not regexp_matches(t, {lit(OPERAND_START)}))"
-    ods = f"list_filter({col}, lambda t: regexp_matches(t, {lit(OPERAND_START)}))"
+    ops = f"list_filter({col}, lambda t: regexp_matches(t, {lit(OPERATOR_START)}))"
+    ods = f"list_filter({col}, lambda t: not regexp_matches(t, {lit(OPERATOR_START)}))"
     return (f"cast(len(list_distinct({ops})) as bigint) h1, cast(len(list_distinct({ods})) as bigint) h2, "
             f"cast(len({ops}) as bigint) n1, cast(len({ods}) as bigint) n2")
 
@@ -155,7 +186,10 @@ V_CODE_DOCS = """code_docs as (
     source || '/' || cast(doc_id as varchar) ||
       case (doc_id // 20) % 5 when 0 then '.py' when 1 then '.js' when 2 then '.dart' when 3 then '.html' else '.md' end path,
     '# ' || source || chr(10) || 'import x' || chr(10) || chr(10) ||
-      replace(replace(text, '. ', '. // ' || lang || chr(10)), ', ', ' /* a' || chr(10) || ' b */ + ') ||
+      replace(replace(replace(text, chr(10), case when lang in ('en', 'de') then chr(10) || chr(10) || 'def g(x):' || chr(10) || '    '
+                                             else chr(10) || '}' || chr(10) || 'int g(int x)' || chr(10) || '{' || chr(10) end),
+                      '. ', '. // ' || lang || chr(10) || case when lang in ('en', 'de') then '    ' else '' end),
+              ', ', ' /* a' || chr(10) || ' b */ + ') ||
       chr(10) || 'y = ' || repeat(chr(34), 3) || lang || chr(10) || 'd' || repeat(chr(34), 3) ||
       chr(10) || '  # end' || chr(10) code
   from documents)"""

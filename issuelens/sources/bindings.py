@@ -142,8 +142,12 @@ def issues_from_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def code_text(text: Column, source: Column, lang: Column) -> Column:
     """Code-like text derived from prose: header comment, import, // and /* */ comments,
-    a docstring and an indented trailing comment."""
-    body = F.replace(F.replace(text, F.lit(". "), F.concat(F.lit(". // "), lang, F.lit("\n"))),
+    a docstring and an indented trailing comment.  Each line break of the prose begins a function,
+    by indentation or by braces, as the language has it."""
+    indented = lang.isin("en", "de")
+    function = F.when(indented, "\n\ndef g(x):\n    ").otherwise("\n}\nint g(int x)\n{\n")
+    comment = F.concat(F.lit(". // "), lang, F.lit("\n"), F.when(indented, "    ").otherwise(""))
+    body = F.replace(F.replace(F.replace(text, F.lit("\n"), function), F.lit(". "), comment),
                      F.lit(", "), F.lit(" /* a\n b */ + "))
     return F.concat(F.lit("# "), source, F.lit("\nimport x\n\n"), body,
                     F.lit('\ny = """'), lang, F.lit('\nd"""\n  # end\n'))

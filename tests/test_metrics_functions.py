@@ -5,9 +5,9 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from issuelens.functions.metrics import (file_halstead, halstead_counts, lexical_complexity, maintainability_index,
-                                         truncate_int)
-from issuelens.functions.text import lex_tokens
+from issuelens.functions.metrics import (file_halstead, function_complexities, halstead_counts, let, lexical_complexity,
+                                         maintainability_index, operators_and_operands, truncate_int)
+from issuelens.functions.text import code_only, lex_tokens, scannable
 
 MI_GOLDEN = [
     (None, 1.0, 1, 1, None),
@@ -62,9 +62,77 @@ def test_truncate_int_half_even_then_toward_zero(spark):
     assert [r[0] for r in df.select(truncate_int("x")).collect()] == [2, 3, 0, 7]
 
 
-def test_lexical_complexity(spark):
-    texts = ["if a and b\nfor x\n\n   \ny", "\n \n", "z"]
+def test_strings_and_comments_hold_no_tokens(spark):
+    texts = {
+        'x = "a + b" # c + d': (["="], ["x", '"a + b"']),
+        "u = 'it\\'s # no comment' + v // w * 2": (["=", "+"], ["u", "v", "'it\ue002s # no comment'"]),
+        's = """two\nlines # of * text"""\n/* y = 1\n "open */ z /= 3': (["=", "/="], ["s", "z", "3", '"""two\nlines # of * text"""']),
+        "a = `t ${b}\n` - \"\" # 'q": (["=", "-"], ["a", "`t ${b}\n`", '""']),
+        'p = "never closed\nq = 1 /* never closed + r': (["=", "=", "/", "*", "+"], ["p", "never", "closed", "q", "1", "never", "closed", "r"]),
+        'd = "\\\\" + e': (["=", "+"], ["d", "e", '"\ue004"']),
+        "": ([], []),
+    }
     df = spark.createDataFrame([(t,) for t in texts], "t string")
-    got = [r[0] for r in df.select(lexical_complexity("t", ("if", "and", "for"))).collect()]
-    # blocks: 3 non-blank lines, decisions 3 -> (3 + 3) / 3 = 2.0; no blocks -> NULL; one plain block -> 1.0
-    assert got == [2.0, None, 1.0]
+    got = {r.t: (r.k.ops, r.k.opnds) for r in df.select("t", let(scannable("t"), operators_and_operands).alias("k")).collect()}
+    assert got == texts
+
+
+def test_unclosed_comments_are_scanned_in_seconds(spark):
+    df = spark.createDataFrame([("/* a " * 200_000,), ("'" * 300_001,), ('x = "\\u0041\\u0042" ' * 50_000,)], "t string")
+    assert [len(r.k.ops) for r in df.select(let(scannable("t"), operators_and_operands).alias("k")).collect()] == [400_000, 0, 50_000]
+
+
+THREE = """
+import os
+if os.sep and os.name: pass
+def first(a, b):
+    if a and b:
+        return "if or while"  # for
+    return a
+class C:
+    def second(self):
+        for x in self:
+            def inner(y): return y or x
+            while x: x = inner(x)
+
+    z = 1 if x else 2
+def third(): return 1
+"""
+BRACES = """
+#include <x.h>
+static int first(int a)
+{
+  if (a && b) { while (a) { a--; } }
+label:
+  return a || 1;
+}
+class K {
+  int second() { return 1; }
+  void third(int x) {
+    switch (x) { case 1: break; case 2: break; }
+  }
+  int field = a && b;
+}
+const f = (x) => {
+  return x ? y : z; // if
+};
+if (main) { run(); }
+"""
+
+
+def test_functions_of_a_file(spark):
+    none = ["x = 1\nif a and b: pass\n", "", "\n \n", "class A:\n  pass", "}}}\n{"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([THREE, BRACES, *none])], "i int, t string")
+    found = function_complexities(code_only(scannable("t")))
+    got = df.select("i", found.alias("c"), lexical_complexity("t").alias("cc")).orderBy("i").collect()
+    # first: if, and; second: for, inner, or, while; third: nothing
+    assert (got[0].c, got[0].cc) == ([3, 5, 1], 3.0)
+    # first: if, &&, while, ||; second: nothing; third: case, case; the arrow function: nothing
+    assert (got[1].c, got[1].cc) == ([5, 1, 3, 1], 2.5)
+    assert [(r.c, r.cc) for r in got[2:]] == [([], None)] * len(none)
+
+
+def test_decisions_are_a_parameter(spark):
+    df = spark.createDataFrame([("def f():\n  if a and b\n  for x\n\n   \n  y",), ("z",)], "t string")
+    assert [r[0] for r in df.select(lexical_complexity("t", ("if", "and", "for"))).collect()] == [4.0, None]
+    assert [r[0] for r in df.select(lexical_complexity("t", ("y",))).collect()] == [2.0, None]
