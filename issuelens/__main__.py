@@ -20,10 +20,11 @@ import sys
 
 from .operators.descriptions import issue_range, last_closed_issue
 from .operators.embed import VectorLookup
+from .operators.history import reachable_log
 from .plans.dataset import build_issue_dataset
 from .session import drop_cut_tables, get_spark
 from .sources import tables as S
-from .sources.sinks import write_dataset
+from .sources.sinks import append_run, write_dataset
 from . import schemas
 
 
@@ -34,6 +35,8 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--end", type=int, default=1, help="last issue number (inclusive); 1 = last closed issue")
     p.add_argument("--output", default="data/issue_dataset", help="JSON-lines output folder")
     p.add_argument("--overwrite", action="store_true", help="replace the output instead of appending")
+    p.add_argument("--run-id", help="append under this id: a run that is repeated adds nothing")
+    p.add_argument("--head", help="commit whose log is read; by default all commits of the table, by their seq")
     p.add_argument("--duplication", choices=("blocks", "lint"), default="blocks")
     p.add_argument("--lint-report", help="text file of a linter report (with --duplication lint)")
     p.add_argument("--python-mode", action="store_true", help="complexity / Halstead from the Python parser")
@@ -55,14 +58,20 @@ def main(argv=None) -> int:
         issues = spark.read.schema(schemas.ISSUES).parquet(t("issues"))
         last = last_closed_issue(issues)
     ids = issue_range(spark, args.start, args.end, last)
+    commits = S.scan_commits(spark, t("commits"))
+    if args.head:
+        commits = reachable_log(commits, spark.createDataFrame([(args.head,)], "sha string"))
     ds = build_issue_dataset(
-        ids, S.scan_commits(spark, t("commits")), S.scan_commit_files(spark, t("commit_files")),
+        ids, commits, S.scan_commit_files(spark, t("commit_files")),
         S.scan_snapshot_files(spark, t("trees")), S.scan_blobs(spark, t("blobs")),
         S.scan_issue_responses(spark, t("responses"), fmt="parquet"),
         VectorLookup(spark.read.schema(schemas.TOKEN_VECTORS).parquet(t("token_vectors"))),
         lint_lines=S.scan_lint_lines(spark, args.lint_report) if args.lint_report else None,
         duplication=args.duplication, mode="python" if args.python_mode else "lexical")
-    write_dataset(ds, args.output, mode="overwrite" if args.overwrite else "append")
+    if args.run_id:
+        append_run(ds, args.output, args.run_id)
+    else:
+        write_dataset(ds, args.output, mode="overwrite" if args.overwrite else "append")
     drop_cut_tables(spark)
     return 0
 

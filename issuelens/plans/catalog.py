@@ -28,6 +28,7 @@ from ..operators import snapshots as SN
 from ..operators import treeobjects as TO
 from ..operators import versionlog as VL
 from ..sources import bindings as B
+from ..sources import checkout as CK
 from ..sources import sinks as SK
 from ..session import ensure_checkpoint_dir
 from . import oracle as O
@@ -113,6 +114,19 @@ def s4(spark, d):
     return sf.join(texts, "blob_sha", "left").select("snapshot_sha", "path", "seq", "entry_type", "blob_sha", "n_chars")
 
 
+@register("s4_scan_checkout", O.with_(O.V_CODE_DOCS) + f"""
+select path, cast(row_number() over (order by len(string_split(path, '/')), path) as bigint) seq,
+       sha1('blob ' || cast(strlen(code) as varchar) || chr(0) || code) blob_sha, cast(length(code) as bigint) n_chars
+from code_docs where {O.suffix_sql('path', T.CODE_SUFFIXES_BEFORE)}""")
+def s4_checkout(spark, d):
+    """All files are written to a folder and read back from it."""
+    folder = ensure_checkpoint_dir(spark).rstrip("/") + f"/checkout-{uuid.uuid4().hex}"
+    CK.write_checkout(B.code_documents(spark, d).select("path", F.col("code").alias("text")), folder)
+    entries, blobs = CK.scan_checkout(spark, folder, "head", T.CODE_SUFFIXES_BEFORE)
+    chars = SN.text_blobs(blobs).select("blob_sha", F.length("text").cast("bigint").alias("n_chars"))
+    return entries.join(chars, "blob_sha").select("path", "seq", "blob_sha", "n_chars")
+
+
 @register("s4_list_tree_objects", O.with_recursive(O.V_CODE_DOCS, O.V_TREE_OBJECTS) + f"""
 select root snapshot_sha, path, cast(row_number() over (partition by root order by depth, path) as bigint) seq, blob_sha
 from listed where {O.suffix_sql('name', T.CODE_SUFFIXES_BEFORE)}""")
@@ -159,6 +173,16 @@ def s5(spark, d):
     return _sink_roundtrip(spark, d, "append")
 
 
+@register("s5_append_runs", _SINK_SQL + "\nunion all" + _SINK_SELECT)
+def s5_runs(spark, d):
+    """Run a is written twice and adds its records once; run b adds them again."""
+    out = ensure_checkpoint_dir(spark).rstrip("/") + f"/sink-runs-{uuid.uuid4().hex}"
+    df = _churn_df(spark, d).withColumn("coupling", F.lit(None).cast("double"))
+    for run in ("a", "a", "b"):
+        SK.append_run(df, out, run)
+    return SK.read_dataset(spark, out)
+
+
 @register("s6_write_dataset_overwrite", _SINK_SQL)
 def s6(spark, d):
     return _sink_roundtrip(spark, d, "overwrite")
