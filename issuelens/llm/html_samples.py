@@ -25,4 +25,11 @@ LABELLED = [
     _page(f'<div class="alert notice"><p>{_MORE}</p></div><article data-main><h1>Title of it</h1><p>{_LONG}</p><aside class="promo" data-not><p>{_AD}</p></aside><p>{_MORE}</p><nav class="pagination" data-not><a href="/2">Next page</a></nav><form data-not><p>Tell us what you think of it.</p></form><footer data-not><p>Filed under things, by a writer.</p></footer></article><div id="disqus_thread"><p>{_LONG}</p></div><div class="side"><p>{_LONG}</p></div>'),
     _page(f'<article data-main><h1>Title of it</h1><p>{_LONG}</p><pre>code line here</pre><figure><figcaption>What is seen here.</figcaption></figure><p>{_MORE}</p><section class="comments" data-not><h3>Replies</h3><p>{_MORE}</p><p>{_LONG}</p></section></article><div class="sponsor"><p>{_AD}</p></div><footer>&copy; Name</footer>'),
     _page(f'<div class="ad">{_AD}</div><article data-main><h1>Title of it</h1><p>{_LONG}</p><p>{_MORE}</p><p>Short.</p></article><footer>&copy; Name &middot; {_MORE}</footer>'),
+    _page(f'<form id="aspnetForm" method="post"><div id="top"><ul class="menu">{_LINKS}</ul></div><div id="content" data-main><h1>Title of it</h1>{_PARAS}</div><div class="search" data-not><label>Search for a word</label></div><div id="footer"><p>{_MORE}</p></div></form>'),
+    _page(f'<form name="page"><div><ul>{_LINKS}</ul></div><div data-main><h1>Title of it</h1><p>{_LONG}</p><p>{_MORE}</p></div><div><p><a href="/a">Imprint</a></p></div></form><form class="login"><label>Your name</label><p>Log in to go on with it.</p></form>'),
+    _page(f'<nav><ul>{_LINKS}</ul></nav><div class="review-body" data-main><h1>Title of it</h1><p>{_LONG}</p><p>{_MORE}</p><p>{_LONG}</p></div><div class="reviews"><div class="user-review"><p>{_LONG}</p></div><div class="user-review"><p>{_MORE}</p></div></div><div>Copyright 2020</div>'),
+    _page(f'<div class="nav"><ul>{_LINKS}</ul></div><article class="post social thread-post" data-main><h1>Title of it</h1>{_PARAS}</article><div class="social-links"><ul>{_LINKS}</ul></div><div>&copy; Name, all rights reserved</div>'),
+    _page(f'<header><nav><ul>{_LINKS}</ul></nav></header><article data-main><h1>Title of it</h1><p>{_LONG}</p><p>{_MORE}</p><h2>References</h2><ol>{_LINKS}</ol></article><footer><ul>{_LINKS}</ul></footer><p>Copyright Name</p>'),
+    _page(f'<div id="menu"><ul>{_LINKS}</ul></div><main data-main><h1>Title of it</h1><p>{_LONG}</p><ul>{_LINKS}</ul><p>{_MORE}</p><h2>Sources</h2><ul class="sources">{_LINKS}</ul></main><div>All rights reserved.</div>'),
+    _page(f'<div class="page"><div class="bar"><a href="/">Home</a> <a href="/x">More</a></div><div class="post-body" data-main><h1>Title of it</h1><p>{_LONG}</p><h2>References</h2><ol class="references">{_LINKS}</ol></div><div class="related" data-not><ul>{_LINKS}</ul></div><div>(c) 2021 Name</div></div>'),
 ]
