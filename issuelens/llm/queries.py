@@ -111,17 +111,25 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(words.n, 0)::BIGINT AS n_
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
-# Every repeated longer n-gram lies inside repeated five-word windows, so five words decide.
+# n-grams of 5 to 10 words; the part of a text's characters that may lie in repeated ones is 25 - n hundredths.
 _OP6_SQL = r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
-), win AS (
-  SELECT doc_id, i, list_slice(w, i, i + 4) AS g
+), five AS (
+  SELECT doc_id, i, array_to_string(list_slice(w, i, i + 4), ' ') AS g
   FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)
-), twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM win) WHERE n > 1),
-pos AS (SELECT DISTINCT doc_id, unnest(range(i, i + 5)) AS p FROM twice),
-rep AS (
-  SELECT doc_id, count(*) AS n, sum(length(w[p])) AS chars FROM pos JOIN d USING (doc_id) GROUP BY doc_id
+), first AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS k FROM five) WHERE k > 1),
+win AS (  -- a longer n-gram repeats only where its first five words do
+  SELECT doc_id, n, i, array_to_string(list_slice(w, i, i + n - 1), ' ') AS g
+  FROM first JOIN d USING (doc_id), range(5, 11) AS r(n) WHERE i + n - 1 <= len(w)
+), twice AS (SELECT doc_id, n, i FROM (SELECT doc_id, n, i, count(*) OVER (PARTITION BY doc_id, n, g) AS k FROM win) WHERE k > 1),
+pos AS (SELECT DISTINCT doc_id, n, unnest(range(i, i + n)) AS p FROM twice),
+chars AS (SELECT doc_id, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS c FROM d),
+each AS (
+  SELECT doc_id, n, count(*) AS words, 100 * sum(length(w[p])) > (25 - n) * any_value(c) AS over
+  FROM pos JOIN d USING (doc_id) JOIN chars USING (doc_id) GROUP BY doc_id, n
+), rep AS (
+  SELECT doc_id, max(words) FILTER (WHERE n = 5) AS n, bool_or(over) AS over FROM each GROUP BY doc_id
 ), lines AS (
   SELECT doc_id, count(*) AS n, sum(chars) AS chars FROM (
     SELECT doc_id, chars, row_number() OVER (PARTITION BY doc_id, line ORDER BY k) AS r FROM (
@@ -131,12 +139,12 @@ rep AS (
 ), m AS (
   SELECT d.doc_id, len(w) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
          length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols, coalesce(lines.n, 0) AS n_dup_lines,
-         coalesce(rep.n, 0) AS n_repeat_words, coalesce(rep.chars, 0) AS rep_chars, coalesce(lines.chars, 0) AS line_chars
+         coalesce(rep.n, 0) AS n_repeat_words, coalesce(rep.over, false) AS over, coalesce(lines.chars, 0) AS line_chars
   FROM d LEFT JOIN rep USING (doc_id) LEFT JOIN lines USING (doc_id)
 ), v AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
        n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
-       NOT base_failed AND rep_chars <= 0.2 * word_chars AND line_chars <= 0.3 * word_chars AND n_symbols <= 0.1 * n_words AS kept
+       NOT base_failed AND NOT over AND line_chars <= 0.3 * word_chars AND n_symbols <= 0.1 * n_words AS kept
 FROM v
 """
 

@@ -28,6 +28,11 @@ from issuelens.llm.tokens import WordEncoder, default_path, opened
 from issuelens.session import cut_lineage
 
 SAMPLE = 64
+#: Documents whose ends are selected at a time when a block is read whole.
+SLICE = 4096
+#: Number of one bits of a byte, and the place of its k-th one bit.
+_ONES = np.array([x.bit_count() for x in range(256)], np.int64)
+_NTH = np.array([([k for k in range(8) if x >> k & 1] + [0] * 8)[:8] for x in range(256)], np.int64)
 _HEAD = struct.Struct("<QQBQQI")
 _BLOCK = struct.Struct("<4sBBHQQQ")
 
@@ -42,7 +47,7 @@ class EliasFano:
     def of(cls, values: np.ndarray) -> EliasFano:
         values = np.asarray(values, np.uint64)
         n = len(values)
-        universe = int(values[-1]) + 1 if n else 0
+        universe = min(int(values[-1]) + 1, (1 << 64) - 1) if n else 0
         low_bits = max(0, (universe // n).bit_length() - 1) if n else 0
         ones = (values >> np.uint64(low_bits)).astype(np.int64) + np.arange(n)
         high = np.zeros(int(ones[-1]) + 1 if n else 0, np.uint8)
@@ -73,8 +78,42 @@ class EliasFano:
         place = byte * 8 + (word & -word).bit_length() - 1
         return place - i << self.low_bits | self._low(i)
 
+    def select_many(self, at: np.ndarray) -> np.ndarray:
+        """The values at several places (int64): all jump to their sampled bits and go on byte by byte together."""
+        at = np.asarray(at, np.int64)
+        if not len(at):
+            return np.empty(0, np.int64)
+        if at.min() < 0 or at.max() >= self.n:
+            raise IndexError(int(at.max()))
+        place, left = self.samples[at // SAMPLE].astype(np.int64), at % SAMPLE
+        byte = place >> 3
+        word = self.high[byte] & (0xFF << (place & 7)).astype(np.uint8)
+        going = np.arange(len(at))
+        while len(going):
+            ones = _ONES[word[going]]
+            more = ones <= left[going]
+            going = going[more]
+            left[going] -= ones[more]
+            byte[going] += 1
+            word[going] = self.high[byte[going]]
+        return (byte * 8 + _NTH[word, left] - at) << self.low_bits | self._lows(at)
+
+    def _lows(self, at: np.ndarray) -> np.ndarray:
+        if not self.low_bits:
+            return np.zeros(len(at), np.int64)
+        low, bit = np.concatenate([self.low, np.zeros(9, np.uint8)]), at * self.low_bits
+        first, shift = bit >> 3, (bit & 7).astype(np.uint64)
+        raw = np.zeros(len(at), np.uint64)
+        for k in range(8):
+            raw |= low[first + k].astype(np.uint64) << np.uint64(8 * k)
+        raw >>= shift
+        if self.low_bits > 57:  # bits of a ninth byte
+            over = low[first + 8].astype(np.uint64) << (np.uint64(64) - np.maximum(shift, np.uint64(1)))
+            raw |= np.where(shift > 0, over, np.uint64(0))
+        return (raw & np.uint64((1 << self.low_bits) - 1)).astype(np.int64)
+
     def all(self) -> np.ndarray:
-        """Every value (int64)."""
+        """Every value (int64), for callers that want a table."""
         ones = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[: self.n]
         out = (ones - np.arange(self.n)) << self.low_bits
         if self.low_bits:
@@ -118,8 +157,15 @@ class Block:
         self.first = struct.unpack_from("<q", data, at)[0]
         self.ids = np.frombuffer(data, f"<u{width}", self.n_ids, at + 8)
 
-    def doc_ids(self) -> list[int | None]:
-        return [None] * self.n_null + [self.first + x for x in self._gaps.all().tolist()]
+    def doc_ids(self, at: range) -> list[int | None]:
+        """Ids of the documents at consecutive places."""
+        known = self._gaps.select_many(np.arange(max(at.start, self.n_null), at.stop) - self.n_null)
+        return [None] * (len(at) - len(known)) + [self.first + x % (1 << 64) for x in known.tolist()]
+
+    def ranges(self, at: range) -> tuple[np.ndarray, np.ndarray]:
+        """First id and end of the documents at consecutive places, by selects."""
+        ends = self.ends.select_many(np.arange(max(at.start - 1, 0), at.stop))
+        return (ends[:-1], ends[1:]) if at.start else (np.concatenate([[0], ends[:-1]]).astype(np.int64), ends)
 
     def document(self, i: int) -> np.ndarray:
         """Ids of the i-th document of the block, by two selects."""
@@ -185,12 +231,13 @@ def read_store(store: DataFrame) -> DataFrame:
         for b in batches:
             for part, no, data in zip(*(b.column(c).to_pylist() for c in ("part", "block", "payload")), strict=True):
                 block = Block(data)
-                ends = block.ends.all()
-                starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
-                crcs = [zlib.crc32(block.ids[i:j].astype("<u4")) for i, j in zip(starts.tolist(), ends.tolist(), strict=True)]
-                n = len(ends)
-                cols = [[part] * n, [no] * n, block.doc_ids(), starts, ends - starts, crcs]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], schema=schema)
+                for i in range(0, block.n_docs, SLICE):
+                    at = range(i, min(i + SLICE, block.n_docs))
+                    starts, ends = block.ranges(at)
+                    crcs = [zlib.crc32(block.ids[x:y].astype("<u4")) for x, y in zip(starts.tolist(), ends.tolist(), strict=True)]
+                    n = len(at)
+                    cols = [[part] * n, [no] * n, block.doc_ids(at), starts, ends - starts, crcs]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], schema=schema)
 
     rows = store.select("part", "block", "payload").mapInArrow(run, "part long, block long, doc_id long, at long, n_tokens long, ids_crc32 long")
     return rows.join(first, ["part", "block"]).select("doc_id", (F.col("before") + F.col("inner") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")

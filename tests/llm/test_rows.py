@@ -118,10 +118,35 @@ def brute_quality(text):
     total = sum(map(len, words))
     failed = len(words) < 10 or 100 * len(rep) > 20 * len(words)
     symbols = sum(c in quality.SYMBOLS for c in text or "")
-    kept = not failed and sum(len(words[p]) for p in rep) <= 0.2 * total and chars <= 0.3 * total and symbols <= 0.1 * len(words)
+    within = True
+    for n in range(5, 11):
+        grams = Counter(tuple(words[i : i + n]) for i in range(len(words) - n + 1))
+        at = {p for i in range(len(words) - n + 1) if grams[tuple(words[i : i + n])] > 1 for p in range(i, i + n)}
+        within &= 100 * sum(len(words[p]) for p in at) <= (25 - n) * total
+    kept = not failed and within and chars <= 0.3 * total and symbols <= 0.1 * len(words)
     return len(words), total, symbols, dup, len(rep), failed, kept
 
 
+def test_each_length_can_reject_a_text(spark):
+    """A passage of n words met twice, of such a part of the text that only n-grams of that length are over their limit."""
+    texts = []
+    for n in range(5, 11):
+        passage = [f"p{k:02}" for k in range(n)]
+        total = 2 * n * 100 // (25 - n)  # words of three characters: the passage's two places are just over 25 - n hundredths
+        for size in (total - 1, total + 2):
+            rest = [f"{k:03}" for k in range(size - 2 * n)]
+            texts.append(" ".join([*passage, *rest[:9], *passage, *rest[9:]]))
+    docs = spark.createDataFrame(rows_of(enumerate(texts)), SCHEMA)
+    got = {r.doc_id: r for r in quality.quality(docs).collect()}
+    for k, text in enumerate(texts):
+        assert got[k].kept == brute_quality(text)[-1]
+    over = [[100 * got[k][f"chars_{n}"] > (25 - n) * got[k].word_chars for n in range(5, 11)] for k in range(0, 12, 2)]
+    assert [row.index(True) for row in over[1:]] and all(row[i] for i, row in enumerate(over))
+    loose = {n: 20 for n in range(5, 11)}
+    changed = [k for k, r in ((r.doc_id, r) for r in quality.quality(docs, ngram_percent=loose).collect()) if r.kept and not got[k].kept]
+    assert len(changed) >= 5  # texts that five words alone would keep
+
+
 def test_quality_equals_brute_force(spark, odd_docs, no_docs):
     rnd = random.Random(9)
     texts = ["".join(rnd.choice(["ab", "c", "é", "#", " ", " ", "\n", "\t", "\xa0"]) for _ in range(rnd.randint(0, 400))) for _ in range(60)]

@@ -129,7 +129,7 @@ def test_nnls_finds_the_nonnegative_solution():
 # -- token store
 
 def test_store_round_trip(spark, odd_docs, no_docs):
-    for block_ids in (50,):
+    for block_ids in (50, 1 << 20):
         rows = token_store.read_store(token_store.write_store(odd_docs, block_ids=block_ids)).collect()
         assert Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in rows) == Counter((i, len(ids_of(t)), crc(ids_of(t))) for i, t in ODD)
         at = 0
@@ -146,14 +146,42 @@ def test_elias_fano_select_and_all(gaps):
     values = np.cumsum(np.array(gaps, np.int64)) if gaps else np.empty(0, np.int64)
     ef, end = token_store.EliasFano.read(b"xx" + token_store.EliasFano.of(values).to_bytes(), 2)
     assert ef.all().tolist() == values.tolist() == [ef.select(i) for i in range(len(values))]
+    at = np.array([i * 7 % len(values) for i in range(len(values))], np.int64)
+    assert ef.select_many(at).tolist() == values[at].tolist()
     if len(values) > 100:
         assert len(ef.low) + len(ef.high) < len(values) * (4 + np.log2(values[-1] / len(values) + 1)) / 8 + 8
 
 
+def test_selects_of_wide_values_and_bounds():
+    for step in (1, 1 << 20, 1 << 55, (1 << 62) - 1):
+        values = np.arange(2, dtype=np.int64) * step + 3
+        ef = token_store.EliasFano.of(values)
+        assert ef.select_many(np.array([1, 0, 1])).tolist() == values[[1, 0, 1]].tolist() == [ef.select(i) for i in (1, 0, 1)]
+    for bad in (-1, 2):
+        with pytest.raises(IndexError):
+            ef.select_many(np.array([0, bad]))
+    lo, hi = -(1 << 63), (1 << 63) - 1
+    assert token_store.Block(token_store.encode_block([lo, hi], [1, 1], b"\0\0\0\0", 2)).doc_ids(range(2)) == [lo, hi]
+
+
+def test_a_full_read_selects_its_offsets(spark, odd_docs, monkeypatch):
+    """Offsets come from select: a store is read though nothing may decode all ends."""
+    store = token_store.write_store(odd_docs, block_ids=50)
+    rows = [tuple(r) for r in store.select("payload").collect()]
+    monkeypatch.setattr(token_store.EliasFano, "all", None)
+    monkeypatch.setattr(token_store, "SLICE", 3)
+    blocks = [token_store.Block(bytes(data)) for (data,) in rows]
+    for b in blocks:
+        starts, ends = b.ranges(range(b.n_docs))
+        assert [b.ids[i:j].tolist() for i, j in zip(starts, ends, strict=True)] == [b.document(i).tolist() for i in range(b.n_docs)]
+
+
 def test_block_documents():
     data = token_store.encode_block([None, -5, 7, 7], [1, 2, 3, 1], np.arange(7, dtype="<u2").tobytes(), 2)
     block = token_store.Block(data)
-    assert block.doc_ids() == [None, -5, 7, 7]
+    assert block.doc_ids(range(4)) == [None, -5, 7, 7] and block.doc_ids(range(1)) == [None] and block.doc_ids(range(2, 3)) == [7]
+    assert [x.tolist() for x in block.ranges(range(4))] == [[0, 1, 3, 6], [1, 3, 6, 7]]
+    assert [x.tolist() for x in block.ranges(range(2, 4))] == [[3, 6], [6, 7]]
     assert [block.document(i).tolist() for i in range(4)] == [[0], [1, 2], [3, 4, 5], [6]]
 
 
