@@ -113,22 +113,23 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 
 # n-grams of 5 to 10 words; the part of a text's characters that may lie in repeated ones is 25 - n hundredths.
 _OP6_SQL = r"""
-WITH d AS (
+WITH d AS MATERIALIZED (
   SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
 ), five AS (
   SELECT doc_id, i, array_to_string(list_slice(w, i, i + 4), ' ') AS g
   FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)
-), first AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS k FROM five) WHERE k > 1),
+), first AS MATERIALIZED (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS k FROM five) WHERE k > 1),
 win AS (  -- a longer n-gram repeats only where its first five words do
   SELECT doc_id, n, i, array_to_string(list_slice(w, i, i + n - 1), ' ') AS g
-  FROM first JOIN d USING (doc_id), range(5, 11) AS r(n) WHERE i + n - 1 <= len(w)
-), twice AS (SELECT doc_id, n, i FROM (SELECT doc_id, n, i, count(*) OVER (PARTITION BY doc_id, n, g) AS k FROM win) WHERE k > 1),
+  FROM (SELECT doc_id, w, unnest(s) AS i FROM (SELECT doc_id, list(i) AS s FROM first GROUP BY doc_id) JOIN d USING (doc_id)), range(5, 11) AS r(n)
+  WHERE i + n - 1 <= len(w)
+), twice AS MATERIALIZED (SELECT doc_id, n, i FROM (SELECT doc_id, n, i, count(*) OVER (PARTITION BY doc_id, n, g) AS k FROM win) WHERE k > 1),
 pos AS (SELECT DISTINCT doc_id, n, unnest(range(i, i + n)) AS p FROM twice),
 chars AS (SELECT doc_id, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS c FROM d),
 each AS (
   SELECT doc_id, n, count(*) AS words, 100 * sum(length(w[p])) > (25 - n) * any_value(c) AS over
   FROM pos JOIN d USING (doc_id) JOIN chars USING (doc_id) GROUP BY doc_id, n
-), rep AS (
+), rep AS MATERIALIZED (
   SELECT doc_id, max(words) FILTER (WHERE n = 5) AS n, bool_or(over) AS over FROM each GROUP BY doc_id
 ), lines AS (
   SELECT doc_id, count(*) AS n, sum(chars) AS chars FROM (
