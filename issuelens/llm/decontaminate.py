@@ -32,80 +32,104 @@ def plain_words(text: str | None) -> list[bytes]:
 
 
 class WuManber:
-    """Search tables for one length of windows; the word ids come from the caller (0: in no window)."""
-
-    BITS = 18
-
-    def __init__(self, windows: list[tuple[int, ...]]):
-        self.m = m = len(windows[0])
-        self.b = b = min(2, m)
-        n = 1 << self.BITS
-        shift = np.full(n, m - b + 1, np.uint8 if m < 200 else np.int64)
-        self.buckets: dict[int, dict[int, list[tuple[int, ...]]]] = {}
-        for w in windows:
-            codes = self.codes(np.array(w, np.int64)).tolist()
-            for end, c in enumerate(codes):  # the block that ends at word end + b - 1 of the window
-                shift[c] = min(shift[c], m - b - end)
-            self.buckets.setdefault(codes[-1], {}).setdefault(codes[0], []).append(w)
-        self.shift = shift
+    """Search tables for the windows of one length, as arrays; the word ids come from the caller (0: in no window).
 
-    def codes(self, ids: np.ndarray) -> np.ndarray:
-        """Hash of the block that starts at each position."""
-        x = ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        if self.b == 2:
-            x = x[:-1] * np.uint64(3) + x[1:]
-        return ((x * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - self.BITS)).astype(np.int64)
+    The shift table has some eight places for each block of the windows, so it doesn't fill up as they grow.
+    """
 
-    def find(self, ids: np.ndarray) -> list[tuple[int, tuple[int, ...]]]:
-        """(start, window) of every occurrence."""
-        n, m, b = len(ids), self.m, self.b
+    LEAST_BITS, MOST_BITS = 10, 24
+    TIMES, FIRST, SPREAD = np.uint64(0x9E3779B97F4A7C15), np.uint64(3), np.uint64(0xD6E8FEB86659FD93)
+
+    def __init__(self, windows: np.ndarray):
+        n, self.m = windows.shape
+        self.b = b = min(2, self.m)
+        last = self.m - b
+        self.bits = min(self.MOST_BITS, max(self.LEAST_BITS, (8 * n * (last + 1)).bit_length()))
+        shift = np.full(1 << self.bits, last + 1, np.uint8 if last < 255 else np.int64)
+        for first in range(last + 1):  # later blocks of a window shift less, so they are set last
+            shift[self._codes(windows[:, first : first + b])] = last - first
+        self.shift = shift
+        suffix, prefix = self._codes(windows[:, last:]), self._codes(windows[:, :b])
+        key = suffix << 32 | prefix
+        self.number = np.argsort(key, kind="stable")  # of the windows in the order of their buckets
+        self.key, self.windows = key[self.number], windows[self.number]
+
+    def _codes(self, blocks: np.ndarray) -> np.ndarray:
+        """Hash of each row of one or two ids."""
+        x = blocks.astype(np.uint64) * self.TIMES
+        return self._places(x[:, 0] * self.FIRST + x[:, 1] if self.b == 2 else x[:, 0])
+
+    def _places(self, x: np.ndarray) -> np.ndarray:
+        return ((x * self.SPREAD) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, ids: np.ndarray) -> list[tuple[int, int]]:
+        """(start, window number) of every occurrence."""
+        n, m = len(ids), self.m
         if n < m:
             return []
-        codes = self.codes(ids)
+        x = ids.astype(np.uint64) * self.TIMES
+        codes = self._places(x[:-1] * self.FIRST + x[1:] if self.b == 2 else x)
         jumps = self.shift[codes].tolist()
-        out, last, at = [], m - b, len(jumps)
+        last, at, maybe = m - self.b, len(jumps), []
         i = last  # block start of the window's last block
         while i < at:
             jump = jumps[i]
             if jump:
                 i += jump
                 continue
-            start = i - last
-            for w in self.buckets.get(int(codes[i]), {}).get(int(codes[start]), ()):
-                if tuple(ids[start : start + m].tolist()) == w:
-                    out.append((start, w))
+            maybe.append(i - last)
             i += 1
+        if not maybe:
+            return []
+        starts = np.array(maybe)
+        key = codes[starts + last] << 32 | codes[starts]
+        low, high = np.searchsorted(self.key, key), np.searchsorted(self.key, key, side="right")
+        out = []
+        for k in np.flatnonzero(low < high).tolist():
+            start = int(starts[k])
+            same = np.flatnonzero((self.windows[low[k] : high[k]] == ids[start : start + m]).all(axis=1))
+            out.extend((start, int(self.number[low[k] + x])) for x in same.tolist())
         return out
 
 
 class Benchmark:
-    """Windows of a block of items, by length, with the items that hold each."""
+    """Windows of a block of items, by length, with the items that hold each; built once and sent to the tasks."""
 
     def __init__(self, items: list[tuple[int | None, str | None]], size: int = 10):
-        vocab: dict[bytes, int] = {}
-        self.items: dict[tuple[int, ...], set] = {}
-        for item, text in items:
-            ids = [vocab.setdefault(w, len(vocab) + 1) for w in plain_words(text)]
-            for i in range(max(1, len(ids) - size + 1)) if ids else ():
-                self.items.setdefault(tuple(ids[i : i + size]), set()).add(item)
-        by_length: dict[int, list] = {}
-        for w in self.items:
-            by_length.setdefault(len(w), []).append(w)
-        self.vocab = vocab
-        self.searches = [WuManber(ws) for _, ws in sorted(by_length.items())]
+        self.vocab: dict[bytes, int] = {}
+        self.items = [item for item, _ in items]
+        rows: dict[int, list[np.ndarray]] = {}
+        owners: dict[int, list[np.ndarray]] = {}
+        for k, (_, text) in enumerate(items):
+            ids = np.array([self.vocab.setdefault(w, len(self.vocab) + 1) for w in plain_words(text)], np.int32)
+            if len(ids):
+                m = min(size, len(ids))
+                windows = np.lib.stride_tricks.sliding_window_view(ids, m)
+                rows.setdefault(m, []).append(windows)
+                owners.setdefault(m, []).append(np.full(len(windows), k))
+        #: (search tables, first place of each window's items, places in ``items``)
+        self.searches: list[tuple[WuManber, np.ndarray, np.ndarray]] = []
+        for m in sorted(rows):
+            windows, owner = np.concatenate(rows[m]), np.concatenate(owners[m])
+            which = np.zeros(len(windows), np.int64)  # number of the window's beginning, word by word
+            for k in range(m):
+                _, at, which = np.unique(which * (len(self.vocab) + 1) + windows[:, k], return_index=True, return_inverse=True)
+            held = np.unique(which * len(items) + owner)
+            first = np.searchsorted(held // len(items), np.arange(len(at) + 1))
+            self.searches.append((WuManber(windows[at]), first, held % len(items)))
 
     def search(self, text: str | None) -> tuple[int, np.ndarray, set]:
         """Number of words, whether each is hit, and the items with windows found."""
         words = plain_words(text)
         hit, found = np.zeros(len(words), bool), set()
         if words and self.searches:
-            ids = np.fromiter(map(self.vocab.get, words, repeat(0)), np.int64, len(words))
+            ids = np.fromiter(map(self.vocab.get, words, repeat(0)), np.int32, len(words))
             if ids.any():
-                for s in self.searches:
-                    for start, w in s.find(ids):
-                        hit[start : start + s.m] = True
-                        found |= self.items[w]
-        return len(words), hit, found
+                for tables, first, owners in self.searches:
+                    for start, w in tables.find(ids):
+                        hit[start : start + tables.m] = True
+                        found.update(owners[first[w] : first[w + 1]].tolist())
+        return len(words), hit, {self.items[k] for k in found}
 
 
 def blocks_of(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple]]:
@@ -126,7 +150,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, carry: tuple[str, ...]
     One row a document, also for repeated rows and null ids; a null text has
     no words.  Items without words match nothing; an item with a null id marks
     words but isn't counted.  The benchmark is a query set: its search tables
-    go to the tasks in blocks of ``block_bytes``, one pass over the documents
+    are built on the driver and go to the tasks in blocks of ``block_bytes``, one pass over the documents
     a block, and a pass hands on which words are hit.  The columns of ``carry`` come
     along; all others are ignored.
     """
@@ -142,7 +166,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, carry: tuple[str, ...]
         """One pass: a further pass gets the text and the words hit so far, the last one's output gets neither."""
 
         def run(batches):
-            bench = Benchmark(block.value, size)
+            bench = block.value
             for b in batches:
                 n, hits, n_hit, items = [], [], [], []
                 for t, h, it in zip(b.column("_text").to_pylist(), b.column("_hits").to_pylist(), b.column("items").to_pylist(), strict=True):
@@ -163,6 +187,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, carry: tuple[str, ...]
     for block in blocks_of(benchmark, block_bytes):
         if held is not None:
             d = cut_lineage(d.mapInArrow(passing(held, False), types).drop("n_words", "n_hit"))
-        held = spark.sparkContext.broadcast(block)
+        held = spark.sparkContext.broadcast(Benchmark(block, size))
     d = d.mapInArrow(passing(held, True), types)
     return d.select(*handed, "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items", (F.col("n_hit") > 0).alias("contaminated"))

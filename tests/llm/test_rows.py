@@ -5,6 +5,7 @@ import random
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -103,6 +104,39 @@ def test_contamination_equals_brute_force(spark, odd_docs, no_docs, block_bytes)
     assert not decontaminate.contamination(docs, bench.where("false")).where("contaminated or n_items > 0").count()
 
 
+def test_a_large_benchmark_is_searched_exactly_and_built_in_seconds():
+    """60,000 windows of ten words and short items, against sets of tuples."""
+    import time
+
+    rnd = random.Random(8)
+    vocab = [f"v{k}" for k in range(400)]
+    items = [(i, " ".join(rnd.choice(vocab) for _ in range(310))) for i in range(200)] + [(500 + i, f"v{i} v{i + 1} v{i}") for i in range(300)]
+    t = time.time()
+    bench = decontaminate.Benchmark(items)
+    assert time.time() - t < 30
+    tables = bench.searches[-1][0]
+    assert len(tables.windows) > 50_000 and (tables.shift == 0).mean() < 0.2  # sized with the windows
+    held = {}
+    for i, text in items:
+        w = plain(text)
+        for k in range(max(1, len(w) - 9)):
+            held.setdefault(tuple(w[k : k + 10]), set()).add(i)
+    for _ in range(60):
+        words = [rnd.choice(vocab) for _ in range(200)]
+        for _ in range(3):  # whole windows, and stretches a word too short
+            source, at, n = items[rnd.randrange(200)][1].split(), rnd.randrange(280), rnd.choice([9, 10, 25])
+            put = rnd.randrange(170)
+            words[put : put + n] = source[at : at + n]
+        want, found = set(), set()
+        for m in (3, 10):
+            for k in range(len(words) - m + 1):
+                if (g := tuple(w.encode() for w in words[k : k + m])) in held:
+                    want.update(range(k, k + m))
+                    found |= held[g]
+        n, hit, got = bench.search(" ".join(words))
+        assert (n, set(np.flatnonzero(hit).tolist()), got) == (len(words), want, found)
+
+
 # -- quality
 
 def brute_quality(text):
