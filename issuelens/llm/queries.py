@@ -115,20 +115,25 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 _OP6_SQL = r"""
 WITH d AS MATERIALIZED (
   SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
-), five AS (
-  SELECT doc_id, i, array_to_string(list_slice(w, i, i + 4), ' ') AS g
-  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)
-), first AS MATERIALIZED (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS k FROM five) WHERE k > 1),
-win AS (  -- a longer n-gram repeats only where its first five words do
-  SELECT doc_id, n, i, array_to_string(list_slice(w, i, i + n - 1), ' ') AS g
-  FROM (SELECT doc_id, w, unnest(s) AS i FROM (SELECT doc_id, list(i) AS s FROM first GROUP BY doc_id) JOIN d USING (doc_id)), range(5, 11) AS r(n)
-  WHERE i + n - 1 <= len(w)
-), twice AS MATERIALIZED (SELECT doc_id, n, i FROM (SELECT doc_id, n, i, count(*) OVER (PARTITION BY doc_id, n, g) AS k FROM win) WHERE k > 1),
+), word AS MATERIALIZED (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS p FROM d),
+gram AS (  -- n-grams of 5 to 10 words from each place; null where the text ends before
+  SELECT doc_id, p, x || ' ' || lead(x, 1) OVER o || ' ' || lead(x, 2) OVER o || ' ' || lead(x, 3) OVER o || ' ' || lead(x, 4) OVER o AS g5,
+         ' ' || lead(x, 5) OVER o AS x6, ' ' || lead(x, 6) OVER o AS x7, ' ' || lead(x, 7) OVER o AS x8,
+         ' ' || lead(x, 8) OVER o AS x9, ' ' || lead(x, 9) OVER o AS x10
+  FROM word WINDOW o AS (PARTITION BY doc_id ORDER BY p)
+), first AS MATERIALIZED (  -- a longer n-gram repeats only where its first five words do
+  SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g5) AS k FROM gram WHERE g5 IS NOT NULL) WHERE k > 1
+), win AS (
+  SELECT doc_id, p AS i, n, CASE n WHEN 5 THEN g5 WHEN 6 THEN g5 || x6 WHEN 7 THEN g5 || x6 || x7 WHEN 8 THEN g5 || x6 || x7 || x8
+                                   WHEN 9 THEN g5 || x6 || x7 || x8 || x9 ELSE g5 || x6 || x7 || x8 || x9 || x10 END AS g
+  FROM first, range(5, 11) AS r(n)
+),
+twice AS MATERIALIZED (SELECT doc_id, n, i FROM (SELECT doc_id, n, i, count(*) OVER (PARTITION BY doc_id, n, g) AS k FROM win WHERE g IS NOT NULL) WHERE k > 1),
 pos AS (SELECT DISTINCT doc_id, n, unnest(range(i, i + n)) AS p FROM twice),
 chars AS (SELECT doc_id, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS c FROM d),
 each AS (
-  SELECT doc_id, n, count(*) AS words, 100 * sum(length(w[p])) > (25 - n) * any_value(c) AS over
-  FROM pos JOIN d USING (doc_id) JOIN chars USING (doc_id) GROUP BY doc_id, n
+  SELECT doc_id, n, count(*) AS words, 100 * sum(length(x)) > (25 - n) * any_value(c) AS over
+  FROM pos JOIN word USING (doc_id, p) JOIN chars USING (doc_id) GROUP BY doc_id, n
 ), rep AS MATERIALIZED (
   SELECT doc_id, max(words) FILTER (WHERE n = 5) AS n, bool_or(over) AS over FROM each GROUP BY doc_id
 ), lines AS (
