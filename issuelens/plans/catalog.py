@@ -933,13 +933,17 @@ def p7(spark, d):
 
 _TRACKER_SQL = O.with_(
     O.V_COMMITS, O.V_COMMIT_FILES,
-    """links as (select cast(c_custkey as bigint) issue_id, m.sha from customer c
-  join commits m on contains(m.message, '#' || cast(c_custkey as varchar)))""",
-    f"""pc as (select issue_id, arg_min(sha, md5(concat_ws(chr(1), {O.lit(O.SEED)}, cast(issue_id as varchar), sha))) sha
+    # an issue's number is mentioned where it begins a run of digits behind a #
+    """refs as materialized (select distinct sha, substr(d, 1, n) number from (
+  select sha, d, unnest(range(1, length(d) + 1)) n from (
+    select sha, unnest(regexp_extract_all(message, '#([0-9]+)', 1)) d from commits)))""",
+    """links as materialized (select cast(c_custkey as bigint) issue_id, sha
+  from customer join refs on number = cast(c_custkey as varchar))""",
+    f"""pc as materialized (select issue_id, arg_min(sha, md5(concat_ws(chr(1), {O.lit(O.SEED)}, cast(issue_id as varchar), sha))) sha
   from links group by issue_id)""",
-    f"""pf as (select pc.issue_id, arg_min(cf.path, md5(concat_ws(chr(1), {O.lit(O.SEED)}, cast(pc.issue_id as varchar),
+    f"""pf as materialized (select pc.issue_id, arg_min(cf.path, md5(concat_ws(chr(1), {O.lit(O.SEED)}, cast(pc.issue_id as varchar),
   cf.path))) path from pc join commit_files cf on cf.sha = pc.sha group by pc.issue_id)""",
-    """numbered as (select path, sha, count(*) over (partition by path) n,
+    """numbered as materialized (select path, sha, count(*) over (partition by path) n,
   row_number() over (partition by path order by sha) k from commit_files)""",
     f"""drawn as (select distinct pf.issue_id, pf.path, n,
   1 + cast('0x' || substr(md5(concat_ws(chr(1), {O.lit(O.SEED)}, cast(issue_id as varchar), pf.path)), 1, 15) as bigint) % n k
