@@ -46,6 +46,11 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
+def word_pairs(words: list[bytes]) -> np.ndarray:
+    """128 bits a word, as pairs of uint64: words that are alike in one half differ in the other."""
+    return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), ">u8").reshape(-1, 2).astype(np.uint64)
+
+
 _POWERS: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
 ODD = 0x9E3779B97F4A7C15
 ODD2 = 0xC2B2AE3D27D4EB4F

@@ -30,7 +30,7 @@ SIZE, THRESHOLD = 5, 0.8
 #: Chance that a pair exactly at the threshold shares a band.
 RECALL = 0.9999
 #: A unit holds two blocks of at most about so many bytes of n-gram hashes and so many nodes.
-BLOCK_BYTES, BLOCK_NODES = 4 << 20, 1000
+BLOCK_BYTES, BLOCK_NODES = 4 << 20, 300
 
 
 def bands_and_rows(threshold: float = THRESHOLD, recall: float = RECALL, most_hashes: int = 160) -> tuple[int, int]:

@@ -24,11 +24,13 @@ import pyspark.sql.functions as F
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.types import StructType
 
-from issuelens.llm.common import ODD2, covered, pack_ints, pick, rolling, rows_by_key, small_batches, staged, unpack_ints, word_hashes, words_of
+from issuelens.llm.common import ODD2, covered, pack_ints, pick, rolling, rows_by_key, small_batches, staged, unpack_ints, word_hashes, word_pairs, words_of
 
 WINDOW, SEED = 13, 6
 #: Rows and text bytes of a lot, and text bytes that one hash bucket answers for.
-LOT_ROWS, LOT_BYTES, BUCKET_BYTES = 256, 32 << 20, 16 << 20
+LOT_ROWS, LOT_BYTES, BUCKET_BYTES = 1024, 32 << 20, 16 << 20
+#: Text bytes for each partition of a shuffle, where the session's number of partitions would make larger ones.
+PART_BYTES = 256 << 20
 #: A null doc_id counts as greater than all others.
 LAST = np.iinfo(np.int64).max
 
@@ -46,10 +48,10 @@ def anchors(hashes: np.ndarray, window: int, seed: int) -> np.ndarray:
     return x
 
 
-def windows(hashes: np.ndarray, window: int) -> np.ndarray:
-    """128-bit hashes of the windows, as pairs of uint64."""
-    out = np.empty((max(0, len(hashes) - window + 1), 2), np.uint64)
-    out[:, 0], out[:, 1] = rolling(hashes, window), rolling(hashes, window, ODD2)
+def windows(pairs: np.ndarray, window: int) -> np.ndarray:
+    """128-bit hashes of the windows, as pairs of uint64; each half from its own half of the words' hashes."""
+    out = np.empty((max(0, len(pairs) - window + 1), 2), np.uint64)
+    out[:, 0], out[:, 1] = rolling(pairs[:, 0], window), rolling(pairs[:, 1], window, ODD2)
     return out
 
 
@@ -98,7 +100,7 @@ def _asked(lot: int, keys: np.ndarray, docs: np.ndarray, buckets: int) -> pa.Rec
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, ASK_PA, strict=True)], schema=ASK_PA)
 
 
-def _answers(asked: DataFrame, wide: bool) -> DataFrame:
+def _answers(asked: DataFrame, wide: bool, parts: int) -> DataFrame:
     """Per lot the keys with news: shared with another document (anchors), or in a smaller one than the lot's least (windows)."""
 
     def run(batches):
@@ -130,7 +132,7 @@ def _answers(asked: DataFrame, wide: bool) -> DataFrame:
                 cols = list(zip(*rows, strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, ANSWER_PA, strict=True)], schema=ANSWER_PA)
 
-    return asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, ANSWER)
+    return asked.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(run, ANSWER)
 
 
 def _is_in(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -140,12 +142,12 @@ def _is_in(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] == keys
 
 
-def _with_answers(docs: DataFrame, answers: DataFrame) -> DataFrame:
+def _with_answers(docs: DataFrame, answers: DataFrame, parts: int) -> DataFrame:
     """Lots of rows, each after the answers it got."""
     carried = [c for c in docs.columns if c != "lot"]
     told = answers.select("lot", *[F.lit(None).cast(docs.schema[c].dataType).alias(c) for c in carried], "keys", "docs", F.lit(0).alias("_kind"))
     rows = docs.select("lot", *carried, F.lit(None).cast("binary").alias("keys"), F.lit(None).cast("binary").alias("docs"), F.lit(1).alias("_kind"))
-    return rows.unionByName(told).repartition("lot").sortWithinPartitions("lot", "_kind")
+    return rows.unionByName(told).repartition(parts, "lot").sortWithinPartitions("lot", "_kind")
 
 
 def _opened(group: pa.Table) -> tuple[list[bytes], list[bytes], pa.Table]:
@@ -190,7 +192,8 @@ def dedup_passages(docs: DataFrame, carry: tuple[str, ...] = (), window: int = W
     d = d.withColumn("lot", F.monotonically_increasing_id())
     d = staged(d.withColumn("lot", lot_of(F.col("lot"), F.coalesce(F.octet_length("_text"), F.lit(0)), lot_rows, lot_bytes)))
     total = d.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // bucket_bytes))
+    set_ = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets, parts = max(set_, -(-total // bucket_bytes)), max(set_, -(-total // PART_BYTES))
 
     def seeds(batches):
         for lot in rows_by_key(batches, "lot"):
@@ -201,7 +204,7 @@ def dedup_passages(docs: DataFrame, carry: tuple[str, ...] = (), window: int = W
                 owners.append(np.full(len(a), _id(doc), np.int64))
             yield _asked(lot.column("lot")[0].as_py(), np.concatenate(keys), np.concatenate(owners), buckets)
 
-    shared = staged(_answers(d.select("lot", "_doc", "_text").mapInArrow(seeds, ASK), False))
+    shared = staged(_answers(d.select("lot", "_doc", "_text").mapInArrow(seeds, ASK), False, parts))
 
     def extended(batches):
         for group in rows_by_key(batches, "lot"):
@@ -211,16 +214,16 @@ def dedup_passages(docs: DataFrame, carry: tuple[str, ...] = (), window: int = W
             known = np.sort(np.concatenate([np.frombuffer(x, np.uint64) for x in told]))
             keys, owners = [], []
             for doc, text in zip(lot.column("_doc").to_pylist(), lot.column("_text").to_pylist(), strict=True):
-                h = word_hashes(words_of(text))
-                near = _is_in(anchors(h, window, seed), known)
+                words = words_of(text)
+                near = _is_in(anchors(word_hashes(words), window, seed), known)
                 if near.any():
-                    keys.append(windows(h, window)[near])
+                    keys.append(windows(word_pairs(words), window)[near])
                     owners.append(np.full(len(keys[-1]), _id(doc), np.int64))
             if keys:
                 yield _asked(lot.column("lot")[0].as_py(), np.concatenate(keys), np.concatenate(owners), buckets)
 
-    asked = _with_answers(d.select("lot", "_doc", "_text"), shared.select("lot", "keys", "docs")).mapInArrow(extended, ASK)
-    smaller = staged(_answers(asked, True))
+    asked = _with_answers(d.select("lot", "_doc", "_text"), shared.select("lot", "keys", "docs"), parts).mapInArrow(extended, ASK)
+    smaller = staged(_answers(asked, True, parts))
 
     types = StructType([d.schema["_doc"], *[d.schema[c] for c in carry]])
     if whole:
@@ -233,7 +236,7 @@ def dedup_passages(docs: DataFrame, carry: tuple[str, ...] = (), window: int = W
             keys, mins, lot = _opened(group)
             texts, ids = lot.column("_text").to_pylist(), lot.column("_doc").to_pylist()
             words = [words_of(t) for t in texts]
-            win = [windows(word_hashes(w), window) for w in words]
+            win = [windows(word_pairs(w), window) for w in words]
             all_win = np.concatenate([*win, *[np.frombuffer(k, np.uint64).reshape(-1, 2) for k in keys], np.empty((0, 2), np.uint64)])
             own = np.concatenate([np.repeat(np.array([_id(x) for x in ids], np.int64), [len(w) for w in win]), *[unpack_ints(m) for m in mins]])
             order = _order(all_win)
@@ -251,6 +254,6 @@ def dedup_passages(docs: DataFrame, carry: tuple[str, ...] = (), window: int = W
             cols = [*[lot.column(c) for c in ("_doc", *carry, *(["_text"] if whole else []))], pa.array([len(w) for w in words], pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())]
             yield from pa.Table.from_arrays(cols, names=types.names).combine_chunks().to_batches()
 
-    out = _with_answers(d, smaller).mapInArrow(cut, types)
+    out = _with_answers(d, smaller, parts).mapInArrow(cut, types)
     return out.withColumnRenamed("_doc", "doc_id")
 

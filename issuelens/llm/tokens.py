@@ -17,7 +17,7 @@ import numpy as np
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks already use all cores
 
 #: Entries that a worker's cache holds before it starts anew (memory, not results, depend on it), and a half of a cache of two.
-CACHE, HALF = 500_000, 150_000
+CACHE, HALF = 500_000, 200_000
 #: Longer units are encoded each time.
 LONGEST_KEY = 48
 #: Stands between words that are normalised together: a private character, which normal forms leave alone.
@@ -84,17 +84,18 @@ class WordEncoder:
         return got
 
     def _learn(self, missing: list[bytes]) -> dict[bytes, bytes]:
-        out, odd, lowers, code, tokenize = {}, [], self.lowers, self.code, self.model.tokenize
+        out, odd, lowers, known, marks = {}, [], self.lowers, self.parts.young.get, string.punctuation
         for w in missing:
             if not (lowers and w.isascii()):
                 odd.append(w)
                 continue
             n = w.lower().decode()
-            if n.isalpha():  # most words: no calls that can be spared
-                got = self.parts.get(n)
-                if got is None:
-                    got = array(code, [t.id for t in tokenize(n)]).tobytes()
-                    self.parts.put(n, got)
+            letters = n.rstrip(marks)
+            if letters.isalpha():  # most words: no calls that can be spared
+                got = known(letters) or self._letters(letters)
+                if len(letters) < len(n):
+                    tail = n[len(letters) :]
+                    got += known(tail) or self._normal(tail)
                 out[w] = got
             elif n.isprintable():
                 out[w] = self._normal(n)

@@ -4,6 +4,8 @@ import os
 import random
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from issuelens.llm import stages
 from issuelens.session import ensure_checkpoint_dir
@@ -72,6 +74,11 @@ def test_stages_equal_brute_force(spark, tmp_path):
     whole = corpus_pipeline.run(spark, sf)
     assert len(os.listdir(staged_folder)) == before  # the stages' working tables are gone
     last = stages.packed(spark, docs, sf)
+    tables_folder = ensure_checkpoint_dir(spark).rstrip("/") + "/tables"
+    tables = len(os.listdir(tables_folder))
+    again = corpus_pipeline.run(spark, sf)
+    assert len(os.listdir(tables_folder)) == tables + 2  # the last stage's input and its pieces
+    assert again.count() == whole.count()
     key = lambda df: Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in df.collect())
     assert key(whole) == key(last)
 
@@ -85,11 +92,27 @@ def test_stages_take_empty_tables(spark, tmp_path, no_docs):
         assert docs.count() == 0
 
 
+def test_stages_take_extra_columns_and_an_empty_benchmark(spark, tmp_path, odd_docs):
+    """Columns that operators use themselves, odd rows, and no benchmark item: each stage's rows are those of the plain table."""
+    sf = str(tmp_path)
+    spark.createDataFrame([], "item_id bigint, text string").write.parquet(f"{sf}/benchmark.parquet")
+    extra = {c: "x" for c in ("lot", "key", "row", "n_words", "kept", "bucket", "_doc", "_text", "_kind", "node", "class_id", "contaminated", "first", "blocks")}
+    plain, clashing = odd_docs.select(*stages.COLUMNS), odd_docs.select(*stages.COLUMNS)
+    for name, stage in corpus_pipeline.STAGES:
+        clashing = clashing.withColumns({c: F.lit(v) for c, v in extra.items()})
+        plain, clashing = stage(spark, plain, sf), stage(spark, clashing, sf)
+        assert plain.columns == clashing.columns
+        if name != corpus_pipeline.STAGES[-1][0]:
+            assert plain.columns == list(stages.COLUMNS)
+            assert Counter(map(tuple, plain.collect())) == Counter(map(tuple, clashing.collect()))
+    assert plain.count() == clashing.count() > 0
+
+
 def test_every_dealt_operator_is_registered():
     import __spark_entry__ as entry
 
     names = list(entry.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
     assert "pipeline" in names and [n for n, _ in corpus_pipeline.STAGES][0] == "quality_rules"
-    assert {"op1_decontaminate", "op6_repetition_quality", "op9_seed_extend_dedup", "op10_ngram_jaccard_join"} <= set(entry.oracle_sql())
+    assert {"op1_decontaminate", "op6_repetition_quality", "op9_seed_extend_dedup", "op10_ngram_jaccard_join", "op12_levelled_lines", "op13_signature_search"} <= set(entry.oracle_sql())

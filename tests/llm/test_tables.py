@@ -54,6 +54,36 @@ def check_shards(rows, n):
     assert all(sorted(s) == list(range(len(s))) for s in by.values())
 
 
+def descent(key, tree):
+    """The shard of a key by the published rule, recomputed: at each level the least of -ln(u) / weight."""
+    import math
+    import struct
+
+    import xxhash
+
+    def choose(level, children):
+        def draw(node, weight):
+            h = xxhash.xxh64(level.encode(), seed=42).intdigest()
+            h = xxhash.xxh64(key.encode(), seed=h).intdigest()
+            h = xxhash.xxh64(struct.pack("<i", node), seed=h).intdigest()
+            return -math.log(((h >> 12) + 0.5) / (1 << 52)) / weight
+
+        return min(children, key=lambda c: (draw(*c), c[0]))[0]
+
+    region = choose("region", [(i, sum(map(len, r))) for i, r in enumerate(tree)])
+    rack = choose("rack", [(region * 1000 + j, len(x)) for j, x in enumerate(tree[region])])
+    return choose("shard", [(s, 1) for s in tree[region][rack % 1000]])
+
+
+def test_shards_are_those_of_a_recomputed_descent(spark):
+    docs = spark.createDataFrame(rows_of([(i * 7 - 50, f"t{i}") for i in range(600)] + [(None, "x")]), SCHEMA)
+    for n in (24, 7):
+        rows = sharding.shard_documents(docs, n).collect()
+        for r in rows:
+            key = "" if r.doc_id is None else str(r.doc_id)
+            assert (r["shard"], r.grown_shard) == (descent(key, sharding.topology(n)), descent(key, sharding.topology(n + 1)))
+
+
 def test_shards_slots_and_growth(spark, odd_docs, no_docs):
     docs = spark.createDataFrame(rows_of([(i, f"t{i}") for i in range(4000)]), SCHEMA).repartition(7)
     rows = sharding.shard_documents(docs, 24).collect()
