@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from issuelens.llm import stages
 from issuelens.llm.common import scratch
-from issuelens.session import cut_lineage
+from issuelens.session import cut_lineage, drop_table, last_table
 
 STAGES = [
     ("quality_rules", stages.quality_rules),
@@ -27,10 +27,15 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each stage's rows are written before the next one reads them.
 
-    A stage's own working tables are deleted when its rows are written.
+    A stage's own working tables are deleted when its rows are written, and its
+    input when its rows are; the last stage's input stays for its result.
     """
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, held = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for _, stage in STAGES[:-1]:
         with scratch(spark):
             docs = cut_lineage(stage(spark, docs, sf_dir))
+        made = last_table()
+        if held:
+            drop_table(spark, held)
+        held = made
     return STAGES[-1][1](spark, docs, sf_dir)

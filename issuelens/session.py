@@ -101,6 +101,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def drop_table(spark: SparkSession, path: str) -> None:
+    """Delete one table that :func:`cut_lineage` wrote, once nothing reads it."""
+    if path in _TABLES:
+        _TABLES.remove(path)
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
+
+
+def last_table() -> str:
+    """The folder of the last table that :func:`cut_lineage` wrote."""
+    return _TABLES[-1]
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists, on whatever file system it is."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)

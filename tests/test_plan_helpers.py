@@ -43,7 +43,7 @@ def test_ranks_of_hot_and_null_groups(spark):
     for g, o in rows:
         seen[g] = seen.get(g, 0) + 1
         want[o] = seen[g]
-    for n in (1, 7, 300):                      # one chunk, nested CASE, array search
+    for n in (1, 7, 300):
         assert {r.o: r["rank"] for r in rank_within(df, ["g"], ["o"], num_chunks=n).collect()} == want
     sums = {r.o: r.s for r in prefix_within(df.withColumn("v", F.lit(2)), ["g"], ["o"], "s", "v", 300).collect()}
     assert sums == {o: 2 * (k - 1) for o, k in want.items()}
