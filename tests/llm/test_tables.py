@@ -22,8 +22,11 @@ from .conftest import ODD, SCHEMA, rows_of
 WORDS = default_path("word_bpe_49k.json")
 
 
+LIBRARY = Tokenizer.from_file(WORDS)
+
+
 def ids_of(text):
-    return Tokenizer.from_file(WORDS).encode(text or "", add_special_tokens=False).ids + [1]
+    return LIBRARY.encode(text or "", add_special_tokens=False).ids + [1]
 
 
 def crc(ids):
