@@ -69,7 +69,8 @@ def trees_at(versions: DataFrame, points: DataFrame, inclusive: bool = True) ->
     low, high = spans.agg(F.min("seq"), F.max(F.greatest("seq", "until"))).first()
     out = [*points.columns, "path", "blob_sha", "seq"]
     if low is None:
-        return points.join(spans, F.lit(False)).select(*out)
+        none = {c: F.lit(None).cast(spans.schema[c].dataType) for c in out[-3:]}
+        return points.where(F.lit(False)).withColumns(none).select(*out)
     levels = (high - low + 1).bit_length()
     start, end = F.col("seq") - low, F.coalesce(F.col("until"), F.lit(high + 1)) - low
     held = spans.withColumns({"_s": start, "_e": end}).withColumn("_p", F.explode(_pieces("_s", "_e", levels)))
@@ -106,11 +107,12 @@ def tree_digests(versions: DataFrame, points: DataFrame, inclusive: bool = True)
         before = prefix_within(steps, [], ["seq"], f"_before{n}", n, kind="decimal(38,0)")
         steps = before.withColumn(n, (F.col(n) + F.col(f"_before{n}")).cast("decimal(38,0)")).drop(f"_before{n}")
     asked = points.withColumn("query_seq", F.col("query_seq").cast("bigint"))
-    known = versions_as_of(cut_lineage(steps), asked, inclusive, keys=())
+    sums = cut_lineage(steps)
+    known = versions_as_of(sums, asked, inclusive, keys=())
     known = known.select(*points.columns, F.col("_files").cast("bigint").alias("n_files"),
                          F.concat_ws(":", F.col("_h1").cast("string"), F.col("_h2").cast("string")).alias("digest"))
-    early = asked.join(steps.agg(F.min("seq").alias("_first")), F.lit(True)).where(
-        F.col("_first").isNull() | (F.col("query_seq") < F.col("_first") + (0 if inclusive else 1)))
+    first = sums.agg(F.min("seq")).first()[0]  # points before it see an empty tree
+    early = asked if first is None else asked.where(F.col("query_seq") < first + (0 if inclusive else 1))
     return known.unionByName(early.select(*points.columns, F.lit(0).cast("bigint").alias("n_files"), F.lit("0:0").alias("digest")))
 
 
