@@ -126,3 +126,43 @@ def test_suffix_reference_and_utf8(spark):
     r = df.select(has_suffix("p", (".py", ".js")).alias("s"), references_issue(F.col("m"), 1).alias("r1"),
                   references_issue(F.col("m"), 12).alias("r12"), is_text("b").alias("u")).collect()
     assert [tuple(x) for x in r] == [(True, True, True, False), (False, False, False, True)]
+
+
+def test_java_classes_hold_the_same_characters(spark):
+    """The classes written for Java's engine against those that RE2 takes, over the whole basic plane."""
+    from issuelens.functions import text as T
+
+    chars = spark.createDataFrame([(chr(i),) for i in range(0x10000) if not 0xD800 <= i < 0xE000], "ch string")
+    pairs = [(T.W, T.W_JAVA), (f"[{T.HSPACE_CHARS}]", T.HSPACE_JAVA), (f"[{T.LINE_SEP_CHARS}]", T.LINE_SEP_JAVA),
+             (T.W.replace(r"\n", ""), T.W_IN_LINE_JAVA)]
+    other = [F.count_if(F.col("ch").rlike(a) != F.col("ch").rlike(b)) for a, b in pairs]
+    assert list(chars.agg(*other).first()) == [0] * len(pairs)
+
+
+def test_function_lines_for_java(spark):
+    from issuelens.functions.text import FUNCTION_LINE, FUNCTION_LINE_JAVA
+
+    rnd = random.Random(4)
+    parts = ["def", "func", "function", "x", "_", "$", ".", " ", "(", ")", "{", "=>", "\U0001F600", "9", ";"]
+    lines = ["".join(rnd.choice(parts) for _ in range(rnd.randrange(7))) for _ in range(3000)]
+    df = spark.createDataFrame([(x,) for x in lines], "l string")
+    got = df.select("l", F.col("l").rlike(FUNCTION_LINE).alias("a"), F.col("l").rlike(FUNCTION_LINE_JAVA).alias("b")).collect()
+    assert [r.l for r in got if r.a != r.b] == [] and 100 < sum(r.a for r in got) < 2900
+
+
+def test_the_last_closing_is_found_as_fast_as_a_plain_scan(spark):
+    """Finding it took over ten times as long as replacing in the same text."""
+    from issuelens.functions.text import scannable
+
+    df = spark.createDataFrame([("value = first + second\n" * 20_000,)] * 8, "t string").repartition(1).cache()
+    df.count()
+
+    def seconds(c):
+        best = 1e9
+        for _ in range(3):
+            began = time.time()
+            df.agg(F.sum(F.length(c))).collect()
+            best = min(best, time.time() - began)
+        return best
+
+    assert seconds(scannable("t")) < 8 * seconds(F.regexp_replace("t", "=[0-9]", "")) + 0.2
