@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from issuelens.functions.text import CODE_SUFFIXES_AFTER, CODE_SUFFIXES_BEFORE
@@ -61,3 +62,25 @@ def test_history_and_content_lookup(spark):
     assert hist == [("f", "s2"), ("f", "s1")]
     look = spark.createDataFrame([("f", "s1"), ("f", "s2"), ("f", "zz")], "path string, sha string")
     assert [(r.sha, r.content) for r in file_content_at(v, look).collect()] == [("s1", "one")]
+
+
+@pytest.mark.parametrize("bound", [1_000_000, 3, 0])
+def test_files_of_each_rows_tree_in_packs(spark, bound):
+    """All ids of one tree: its files come from many tasks, whichever side is broadcast."""
+    from issuelens.operators.joins import CONF_KEY
+    from issuelens.operators.snapshots import named_files
+
+    rows = [(i if i else None, "t") for i in range(100)] + [(5, "t"), (200, "u"), (201, None), (202, "none")]
+    entries = [("t", f"{i}.py", f"b{i}") for i in range(5)] + [("t", "0.py", "b0"), ("u", "x.py", None), ("v", "y.py", "b")]
+    r = spark.createDataFrame(rows, "issue_id bigint, before_snapshot string")
+    e = spark.createDataFrame(entries, "snapshot_sha string, path string, blob_sha string")
+    spark.conf.set(CONF_KEY, str(bound))
+    try:
+        found = named_files(r, e, "before_snapshot", pack=8).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.unset(CONF_KEY)
+    key = lambda x: tuple((v is not None, v) for v in x)
+    want = [(i, s, p, b) for i, t in rows for s, p, b in entries if s == t]
+    assert sorted(((x.issue_id, x.snapshot_sha, x.path, x.blob_sha) for x in found), key=key) == sorted(want, key=key)
+    if bound > 3:
+        assert len({x.task for x in found if x.snapshot_sha == "t"}) > 1
