@@ -7,7 +7,8 @@ position of the log; (path, seq) is unique and ``seq`` grows with time.
 * A version is valid from its ``seq`` up to the path's next one.  Valid spans
   meet points by an equi-join: a span falls into at most two aligned pieces of each
   power of two, and a point lies in exactly one piece of each size, so the
-  pair (size, piece) is a key and nothing needs to be tested afterwards.
+  pair (size, piece) is a key and nothing needs to be tested afterwards.  A grid
+  with the first and last point of each cell drops most spans without a point before that.
 * The digest of a tree is the sum of its entries' hashes, so a point's digest is a
   prefix sum over the log of what each version adds and takes away.  Equal
   trees are found without listing any, and each is listed and measured once.
@@ -15,15 +16,18 @@ position of the log; (path, seq) is unique and ``seq`` grows with time.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .ranking import prefix_within
+from .joins import bounded_broadcast
+from .ranking import prefix_sums, prefix_within
 from .snapshots import versions_as_of
 
 #: Hex digits of an entry's hash in each half of a digest (60 bits).
 HALF = 15
+#: The grid of points has 2 to this power cells at most.
+GRID = 12
 
 
 def _with_neighbour(versions: DataFrame, step: int, columns: dict[str, str]) -> DataFrame:
@@ -58,6 +62,23 @@ def _pieces(start: str, end: str, levels: int) -> Column:
     return F.expr(one)
 
 
+def _met(spans: DataFrame, at: DataFrame, size: int) -> DataFrame:
+    """``spans`` [_s, _e) without most of those that hold none of the points ``at`` (_at), all from 0 to before ``size``.
+
+    A cell of the grid knows its first and last point and the first one behind
+    it.  A span is kept if it begins in the stretch of its cell's points and
+    ends behind their first, or if it reaches the next cell's point.
+    """
+    bits = max(0, size.bit_length() - GRID)
+    found = at.groupBy(F.shiftright("_at", bits).alias("_cell")).agg(F.min("_at").alias("_lo"), F.max("_at").alias("_hi"))
+    later = Window.orderBy("_cell").rowsBetween(1, Window.unboundedFollowing)
+    grid = (spans.sparkSession.range((size >> bits) + 1).withColumnRenamed("id", "_cell").join(found, "_cell", "left")
+            .withColumn("_next", F.min("_lo").over(later)))
+    inside = (F.col("_s") <= F.col("_hi")) & (F.col("_e") > F.col("_lo"))
+    return (spans.withColumn("_cell", F.shiftright("_s", bits)).join(F.broadcast(grid), "_cell")
+            .where(inside | (F.col("_e") > F.col("_next"))).drop("_cell", "_lo", "_hi", "_next"))
+
+
 def trees_at(versions: DataFrame, points: DataFrame, inclusive: bool = True) -> DataFrame:
     """The whole tree at every point: (columns of ``points``, path, blob_sha, seq), one row a live path.
 
@@ -73,18 +94,20 @@ def trees_at(versions: DataFrame, points: DataFrame, inclusive: bool = True) ->
         return points.where(F.lit(False)).withColumns(none).select(*out)
     levels = (high - low + 1).bit_length()
     start, end = F.col("seq") - low, F.coalesce(F.col("until"), F.lit(high + 1)) - low
-    held = spans.withColumns({"_s": start, "_e": end}).withColumn("_p", F.explode(_pieces("_s", "_e", levels)))
-    held = held.select("path", "blob_sha", "seq", F.col("_p.level").alias("_level"), F.col("_p.piece").alias("_piece"))
     # a point beyond the log sees its end; one before it sees nothing
     at = F.least(F.col("query_seq").cast("bigint") - (0 if inclusive else 1), F.lit(high)) - low
-    asked = points.withColumn("_at", at).where("_at >= 0").withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(levels))))
+    asked = cut_lineage(points.withColumn("_at", at).where("_at >= 0"))
+    held = _met(spans.withColumns({"_s": start, "_e": end}), asked, high - low + 1)
+    held = held.withColumn("_p", F.explode(_pieces("_s", "_e", levels)))
+    held = held.select("path", "blob_sha", "seq", F.col("_p.level").alias("_level"), F.col("_p.piece").alias("_piece"))
+    asked = asked.withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(levels))))
     asked = asked.withColumn("_piece", F.expr("shiftright(_at, _level)")).drop("_at")
-    return asked.join(held, ["_level", "_piece"]).select(*out)
+    return held.join(bounded_broadcast(asked), ["_level", "_piece"]).select(*out)
 
 
 def _halves(path: str, blob: str) -> list[Column]:
     digest = F.md5(F.concat(F.col(path), F.lit("\0"), F.col(blob)).cast("binary"))
-    return [F.conv(F.substring(digest, 1 + k * HALF, HALF), 16, 10).cast("decimal(38,0)") for k in (0, 1)]
+    return [F.conv(F.substring(digest, 1 + k * HALF, HALF), 16, 10).cast("bigint") for k in (0, 1)]
 
 
 def tree_digests(versions: DataFrame, points: DataFrame, inclusive: bool = True) -> DataFrame:
@@ -97,15 +120,14 @@ def tree_digests(versions: DataFrame, points: DataFrame, inclusive: bool = True)
     v = _with_neighbour(_numbered(versions), -1, {"blob_sha": "_blob", "deleted": "_gone"})
     new = F.when(~F.col("deleted"), 1).otherwise(0)
     old = F.when(F.col("_gone") == F.lit(False), 1).otherwise(0)
-    nothing = F.lit(0).cast("decimal(38,0)")
+    nothing = F.lit(0).cast("bigint")  # a difference of two halves of 60 bits is a bigint; their sums are not
     changes = [F.when(new == 1, a).otherwise(nothing) - F.when(old == 1, b).otherwise(nothing)
                for a, b in zip(_halves("path", "blob_sha"), _halves("path", "_blob"), strict=True)]
     names = ["_files", "_h1", "_h2"]
     steps = v.select("seq", *[c.cast("decimal(38,0)").alias(n) for c, n in zip([(new - old), *changes], names, strict=True)])
     steps = cut_lineage(steps.groupBy("seq").agg(*[F.sum(n).cast("decimal(38,0)").alias(n) for n in names]))
-    for n in names:
-        before = prefix_within(steps, [], ["seq"], f"_before{n}", n, kind="decimal(38,0)")
-        steps = before.withColumn(n, (F.col(n) + F.col(f"_before{n}")).cast("decimal(38,0)")).drop(f"_before{n}")
+    before = prefix_sums(steps, [], ["seq"], {f"_before{n}": n for n in names}, kind="decimal(38,0)")
+    steps = before.select("seq", *[(F.col(n) + F.col(f"_before{n}")).cast("decimal(38,0)").alias(n) for n in names])
     asked = points.withColumn("query_seq", F.col("query_seq").cast("bigint"))
     sums = cut_lineage(steps)
     known = versions_as_of(sums, asked, inclusive, keys=())

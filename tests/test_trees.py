@@ -132,3 +132,34 @@ def test_empty_logs_and_no_points(spark):
     assert [tuple(r) for r in VL.tree_digests(none, p).select("n_files", "digest").collect()] == [(0, "0:0")]
     some = spark.createDataFrame([("a", 1, "x", False)], LOG)
     assert VL.trees_at(some, p.limit(0)).count() == 0 and VL.tree_digests(some, p.limit(0)).count() == 0
+
+
+def test_spans_without_points_are_dropped_before_they_are_cut_up(spark):
+    """Of 20,000 versions only those that a point sees, and few besides, go into the join."""
+    spans = spark.range(20_000).select((F.col("id") * 3).alias("_s"), (F.col("id") * 3 + 2).alias("_e"))
+    at = spark.createDataFrame([(0,), (30_001,), (30_002,), (59_998,)], "_at bigint")
+    kept = {(r[0], r[1]) for r in VL._met(spans, at, 60_000).collect()}
+    seen = {(s, s + 2) for s in range(0, 60_000, 3) if any(s <= a < s + 2 for a in (0, 30_001, 30_002, 59_998))}
+    assert seen <= kept and len(kept) < 20
+
+
+def test_prefix_sums_of_several_values_in_one_pass(spark):
+    from issuelens.operators.ranking import prefix_sums
+
+    df = spark.createDataFrame([(i % 3 or None, i, i * 10, None if i % 4 else 1) for i in range(50)], "g int, o int, a bigint, b bigint")
+    got = {r.o: (r.pa, r.pb, r.pn) for r in prefix_sums(df, ["g"], ["o"], {"pa": "a", "pb": "b", "pn": None}, 7).collect()}
+    rows = [(i % 3 or None, i, i * 10, 0 if i % 4 else 1) for i in range(50)]
+    for g, o, *_ in rows:
+        before = [r for r in rows if r[0] == g and r[1] < o]
+        assert got[o] == (sum(r[2] for r in before), sum(r[3] for r in before), len(before))
+
+
+def test_version_log_needs_no_sorted_aggregate(spark, tmp_path):
+    """A part's order is deleted if the greatest of its flags is R; flags of NULL don't count."""
+    from issuelens.sources import bindings as B
+
+    rows = [(1, 1, 2.0, "A"), (1, 1, 3.0, "R"), (1, 2, 1.0, "R"), (1, 2, 1.0, "S"), (1, 3, 1.0, None), (1, 4, 1.0, None), (1, 4, 1.0, "R"), (1, 5, 1.0, "N")]
+    spark.createDataFrame(rows, "l_partkey bigint, l_orderkey bigint, l_quantity double, l_returnflag string").write.parquet(str(tmp_path / "lineitem.parquet"))
+    log = B.version_log(spark, str(tmp_path))
+    assert "SortAggregate" not in log._jdf.queryExecution().executedPlan().toString()
+    assert {r.seq: r.deleted for r in log.collect()} == {1: True, 2: False, 3: None, 4: True, 5: False}
