@@ -24,3 +24,12 @@ def test_no_commits_no_rows(spark):
     files = spark.createDataFrame([], "sha string, path string")
     issues = spark.createDataFrame([(1,)], "issue_id long")
     assert track_issue_changes(issues, commits, files).count() == 0
+
+
+def test_commits_are_dealt_before_their_links_are_picked(spark):
+    """One split of the log had all its links sorted in one task."""
+    from issuelens.plans.tracker import dealt
+
+    commits = spark.range(1000).selectExpr("cast(id as string) sha", "'see #1' message").coalesce(1)
+    sizes = [r[0] for r in dealt(commits).selectExpr("spark_partition_id() p").groupBy("p").count().select("count").collect()]
+    assert len(sizes) == int(spark.conf.get("spark.sql.shuffle.partitions")) and max(sizes) < 500
