@@ -84,3 +84,22 @@ def test_files_of_each_rows_tree_in_packs(spark, bound):
     assert sorted(((x.issue_id, x.snapshot_sha, x.path, x.blob_sha) for x in found), key=key) == sorted(want, key=key)
     if bound > 3:
         assert len({x.task for x in found if x.snapshot_sha == "t"}) > 1
+
+
+@pytest.mark.parametrize("bound", [1_000_000, 0])
+def test_no_row_is_multiplied_by_a_whole_tree(spark, bound):
+    """Spark holds what comes of one row: a unit has some ids and some files of its tree, however large that is."""
+    from issuelens.operators.joins import CONF_KEY
+    from issuelens.operators.snapshots import file_units
+
+    r = spark.range(2000).selectExpr("if(id > 5, id, null) issue_id", "'t' before_snapshot")
+    e = spark.range(3000).selectExpr("'t' snapshot_sha", "concat(id div 2, '.py') path", "'b' blob_sha")
+    spark.conf.set(CONF_KEY, str(bound))
+    try:
+        units = file_units(r, e, "before_snapshot", pack=16, block=32).selectExpr(
+            "size(_ids) i", "size(_files) f", "_pack p", "_block b").collect()
+    finally:
+        spark.conf.unset(CONF_KEY)
+    assert sum(x.i * x.f for x in units) == 2000 * 3000
+    assert max(x.i for x in units) <= 4 * 16 and max(x.f for x in units) <= 4 * 32
+    assert len({(x.p, x.b) for x in units}) == len(units)
