@@ -1,5 +1,7 @@
 """Helpers that shape plans: bounded broadcasts and spreading under-split scans."""
 
+from pyspark.sql import functions as F
+
 from issuelens.operators.joins import bounded_broadcast
 from issuelens.sources.parallel import ensure_parallelism
 
@@ -73,3 +75,25 @@ def test_cut_tables_are_dropped(spark):
     path = df.inputFiles()[0].rsplit("/", 1)[0]
     assert df.count() == 3 and path_exists(spark, path)
     assert drop_cut_tables(spark) == 1 and not path_exists(spark, path)
+
+
+def test_shuffle_files_of_an_ended_job_go(spark):
+    """The dataset's links leave no shuffle files behind when its texts are measured."""
+    import gc
+    import time
+
+    from issuelens.session import cut_lineage, free_shuffles
+
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {f.getName() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(blocks.getAllFiles())
+                     if f.getName().startswith("shuffle_")}
+    old = files()
+    cut_lineage(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    new = files() - old
+    assert new
+    gc.collect()
+    free_shuffles(spark)
+    until = time.time() + 20
+    while new & files() and time.time() < until:
+        time.sleep(0.2)
+    assert not new & files()
